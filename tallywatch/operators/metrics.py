@@ -79,9 +79,11 @@ def fraud_rate(df: DataFrame) -> DataFrame:
 
 def _calendar_hours(df: DataFrame) -> DataFrame:
     """Count and volume per calendar hour; one row per hour that has data."""
+    ts_type = df.schema["transaction_timestamp"].dataType
+    hour_start = F.date_trunc("hour", "transaction_timestamp").cast(ts_type)
     return (
         df.filter(F.col("transaction_timestamp").isNotNull())
-        .groupBy(F.date_trunc("hour", "transaction_timestamp").alias("hour_start"))
+        .groupBy(hour_start.alias("hour_start"))
         .agg(
             F.count("*").alias("doc_count"),
             F.coalesce(F.sum("amount"), F.lit(0.0)).alias("total_volume"),

@@ -33,7 +33,6 @@ from tallywatch.plans.scoring import (
     hybrid_scoring,
     join_scores,
     train_model,
-    train_test_split,
     with_enhanced_flag,
 )
 from tallywatch.plans.tables import (
@@ -496,48 +495,44 @@ def causal_features(spark, folder):
 
 # -- model ---------------------------------------------------------------------------------
 
-_models: dict[tuple[str, str], AnomalyModel] = {}
+_models: dict[tuple[str, str], tuple[AnomalyModel, DataFrame]] = {}
 
 
-def _model(spark: SparkSession, folder: str) -> AnomalyModel:
-    """Model trained on the training split, once per session and folder."""
+def _trained(spark: SparkSession, folder: str) -> tuple[AnomalyModel, DataFrame]:
+    """Model and test features, trained once per session and folder."""
     ship_package(spark)
     key = (spark.sparkContext.applicationId, folder)
     if key not in _models:
-        training, _ = train_test_split(transactions(spark, folder))
-        _models[key] = train_model(training, AnomalyModel())
+        _models[key] = train_model(transactions(spark, folder), AnomalyModel())
     return _models[key]
 
 
-def _test_features(spark: SparkSession, folder: str) -> DataFrame:
-    _, test = train_test_split(transactions(spark, folder))
-    return prepare_features(apply_rules(test))
-
-
 def forest_nodes(spark, folder):
     ship_package(spark)
-    training, _ = train_test_split(transactions(spark, folder))
-    return train_model(training, AnomalyModel()).nodes(spark)
+    model, _ = train_model(transactions(spark, folder), AnomalyModel())
+    return model.nodes(spark)
 
 
 def forest_scores(spark, folder):
-    model = _model(spark, folder)
+    model, _ = _trained(spark, folder)
     return model.score(prepare_features(_ruled(spark, folder))).select(
         "event_id", "ml_anomaly_score", "is_ml_anomaly"
     )
 
 
 def model_evaluation(spark, folder):
-    model = _model(spark, folder)
-    return evaluation.classification_report(model.score(_test_features(spark, folder)))
+    model, test = _trained(spark, folder)
+    return model.evaluate(test)["classification_report"]
 
 
 def feature_importance(spark, folder):
-    return _model(spark, folder).importance(_test_features(spark, folder))
+    model, test = _trained(spark, folder)
+    return model.importance(test)
 
 
 def explain_anomalies(spark, folder):
-    explained = _model(spark, folder).explain(prepare_features(_ruled(spark, folder)))
+    model, _ = _trained(spark, folder)
+    explained = model.explain(prepare_features(_ruled(spark, folder)))
     return explained.select(
         "event_id", "is_anomaly", "anomaly_score",
         F.concat_ws(";", "explanations").alias("explanations"), "feature_values.*",
@@ -545,7 +540,8 @@ def explain_anomalies(spark, folder):
 
 
 def hybrid_scores(spark, folder):
-    return hybrid_scoring(transactions(spark, folder), _model(spark, folder)).select(
+    model, _ = _trained(spark, folder)
+    return hybrid_scoring(transactions(spark, folder), model).select(
         "event_id", "is_flagged", "ml_anomaly_score", "is_ml_anomaly", "is_enhanced_fraud"
     )
 

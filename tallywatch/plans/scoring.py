@@ -55,6 +55,12 @@ def train_model(
     model: AnomalyModel,
     config: RiskConfig = DEFAULT_CONFIG,
     policy: SkewPolicy = DEFAULT_POLICY,
-) -> AnomalyModel:
-    """Rules and features over the transactions, then the model fit."""
-    return model.train(prepare_features(apply_rules(transactions, config), model.row_id, policy))
+) -> tuple[AnomalyModel, DataFrame]:
+    """Fit on the training split; returns the model and the features of the test split.
+
+    Features come from the whole history before the split, so both sides and later scoring
+    see the same distributions.
+    """
+    features = prepare_features(apply_rules(transactions, config), model.row_id, policy)
+    training, test = train_test_split(features, model.row_id)
+    return model.train(training), test

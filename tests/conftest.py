@@ -6,7 +6,10 @@ import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
-os.environ["PYTHONPATH"] = f"{ROOT}{os.pathsep}{os.environ.get('PYTHONPATH', '')}"
+# Python workers import the package and the helper classes of the tests.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [str(ROOT), str(ROOT / "tests"), os.environ.get("PYTHONPATH", "")]
+)
 
 DATA = "/root/testdata/sf0.01"
 

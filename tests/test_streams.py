@@ -1,0 +1,351 @@
+"""Streams on file sources: batch equals stream, restarts, late rows, sinks."""
+
+import json
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywatch.operators.metrics import frequent_users, hourly_metrics
+from tallywatch.operators.model import AnomalyModel
+from tallywatch.operators.features import prepare_features
+from tallywatch.operators.rules import apply_rules, flagged
+from tallywatch.plans.catalog import DAILY
+from tallywatch.plans.tables import transactions
+from tallywatch.sinks.documents import (
+    check_document_schema,
+    flagged_documents,
+    hourly_documents,
+    send_with_retry,
+    write_documents,
+)
+from tallywatch.sinks.records import append_jsonl, keyed_records, topic_writer_options
+from tallywatch.sources.files import read_jsonl
+from tallywatch.sources.parse import parse_records
+from tallywatch.sources.streams import read_stream, topic_options
+from tallywatch.streaming.causal import STATE_STORE, causal_user_features
+from tallywatch.streaming.queries import (
+    alert_stream,
+    change_writer,
+    fan_out,
+    frequency_stream,
+    hourly_stream,
+    read_changes,
+    read_snapshot,
+    snapshot_writer,
+    start,
+    start_job,
+    wait_for_all,
+)
+from tallywatch.streaming.scoring import (
+    build_profiles,
+    features_with_profiles,
+    scoring_batch_writer,
+)
+
+N_FILES = 4
+
+
+@pytest.fixture(scope="module")
+def batch(spark, data):
+    return transactions(spark, data).withColumn(
+        "transaction_timestamp", F.col("transaction_timestamp").cast("timestamp")
+    )
+
+
+@pytest.fixture(scope="module")
+def folder(batch, tmp_path_factory):
+    """The transactions as four files in time order."""
+    path = str(tmp_path_factory.mktemp("stream") / "in")
+    for i in range(N_FILES):
+        part = batch.filter(
+            (F.col("event_id") >= i * 2500) & (F.col("event_id") < (i + 1) * 2500)
+        )
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@pytest.fixture()
+def stream(spark, batch, folder):
+    return read_stream(
+        spark, "parquet", schema=batch.schema, path=folder, max_files_per_trigger=1
+    )
+
+
+def rows(df):
+    return sorted(
+        tuple(round(v, 4) if isinstance(v, float) else v for v in r) for r in df.collect()
+    )
+
+
+def drain(writer, checkpoint):
+    query = start(writer, str(checkpoint), None, available_now=True)
+    query.awaitTermination()
+    return query
+
+
+def test_alerts_equal_the_batch_and_restart_adds_nothing(spark, stream, batch, tmp_path):
+    columns = ["event_id", "user_id", "amount", "is_high_amount", "is_location_outlier"]
+
+    def run():
+        writer = alert_stream(stream).writeStream.outputMode("append").format("parquet")
+        return drain(writer.option("path", str(tmp_path / "out")), tmp_path / "check")
+
+    first = run()
+    assert len(first.recentProgress) >= N_FILES
+    expected = rows(flagged(apply_rules(batch)).select(*columns))
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select(*columns)) == expected
+    again = run()
+    assert sum(p["numInputRows"] for p in again.recentProgress) == 0
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select(*columns)) == expected
+
+
+def test_frequency_in_complete_and_update_mode(spark, stream, batch, tmp_path):
+    expected = rows(frequent_users(batch, DAILY))
+    complete = frequency_stream(stream, DAILY).writeStream.outputMode("complete")
+    drain(complete.foreachBatch(snapshot_writer(str(tmp_path / "full"))), tmp_path / "c1")
+    assert rows(read_snapshot(spark, str(tmp_path / "full"))) == expected
+    update = frequency_stream(stream, DAILY, watermark="2 days").writeStream.outputMode("update")
+    drain(update.foreachBatch(change_writer(str(tmp_path / "changes"))), tmp_path / "c2")
+    changes = read_changes(
+        spark, str(tmp_path / "changes"), ["window_start", "window_end", "user_id"]
+    )
+    assert rows(changes) == expected
+
+
+def test_hourly_equals_the_batch(spark, stream, batch, tmp_path):
+    writer = hourly_stream(stream).writeStream.outputMode("complete")
+    drain(writer.foreachBatch(snapshot_writer(str(tmp_path / "h"))), tmp_path / "c")
+    assert rows(read_snapshot(spark, str(tmp_path / "h"))) == rows(
+        hourly_metrics(apply_rules(batch))
+    )
+
+
+def test_late_rows_are_dropped_and_counted(spark, batch, tmp_path):
+    for i, (low, high) in enumerate([(5000, 10000), (0, 2500), (2500, 5000)]):
+        part = batch.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "late"))
+    source = read_stream(spark, "parquet", schema=batch.schema, path=str(tmp_path / "late"),
+                         max_files_per_trigger=1)
+    writer = frequency_stream(source, DAILY, watermark="1 hour").writeStream.outputMode("update")
+    query = drain(writer.format("noop"), tmp_path / "c")
+    dropped = sum(
+        op["numRowsDroppedByWatermark"] for p in query.recentProgress
+        for op in p["stateOperators"]
+    )
+    assert dropped > 0
+
+
+def test_causal_features_over_several_batches(spark, stream, batch, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    try:
+        writer = causal_user_features(stream).writeStream.outputMode("append").format("parquet")
+        drain(writer.option("path", str(tmp_path / "out")), tmp_path / "c")
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    batch.createOrReplaceTempView("tx_batch")
+    expected = spark.sql("""
+        SELECT user_id, event_id, count(*) OVER w, avg(amount) OVER w,
+               unix_timestamp(transaction_timestamp) - lag(unix_timestamp(transaction_timestamp))
+                 OVER (PARTITION BY user_id ORDER BY transaction_timestamp, event_id)
+        FROM tx_batch
+        WINDOW w AS (PARTITION BY user_id ORDER BY transaction_timestamp, event_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+    def key(df):
+        return {r[1]: (r[0], r[2], round(r[3], 4), r[4]) for r in df.collect()}
+    assert key(spark.read.parquet(str(tmp_path / "out"))) == key(expected)
+
+
+def test_profiles_replay_the_past(batch):
+    """Past as profiles plus the rest as micro-batch gives the features of the whole."""
+    past, now = batch.filter("event_id < 7000"), batch.filter("event_id >= 7000")
+    whole = prepare_features(apply_rules(batch)).filter("event_id >= 7000")
+    replayed = features_with_profiles(apply_rules(now), build_profiles(past))
+    columns = ["event_id", "user_transaction_count", "user_avg_amount", "time_since_last_txn"]
+    assert rows(replayed.select(*columns).drop("user_transaction_count", "user_avg_amount")) == (
+        rows(whole.select(*columns).drop("user_transaction_count", "user_avg_amount"))
+    )
+    last = replayed.join(
+        batch.groupBy("user_id").agg(F.count("*").alias("n"), F.avg("amount").alias("mean")),
+        "user_id",
+    )
+    assert last.filter("user_transaction_count <> n").count() == 0
+    assert last.filter(F.abs(F.col("user_avg_amount") - F.col("mean")) > 1e-6).count() == 0
+
+
+def test_micro_batch_scoring(spark, stream, batch, tmp_path):
+    model = AnomalyModel(n_trees=20).train(prepare_features(apply_rules(batch)))
+    profiles = build_profiles(batch.filter("event_id < 0"))
+    seen = fan_out(
+        lambda df, i: df.select("event_id", "is_enhanced_fraud").write.mode("overwrite").parquet(
+            f"{tmp_path}/scored/batch_id={i}"
+        ),
+        lambda df, i: df.filter("is_enhanced_fraud").select("event_id").write.mode(
+            "overwrite").parquet(f"{tmp_path}/alerts/batch_id={i}"),
+    )
+    writer = stream.writeStream.foreachBatch(scoring_batch_writer(model, profiles, seen))
+    drain(writer, tmp_path / "c")
+    scored = spark.read.parquet(str(tmp_path / "scored"))
+    assert scored.count() == batch.count()
+    assert scored.filter("is_enhanced_fraud IS NULL").count() == 0
+    assert spark.read.parquet(str(tmp_path / "alerts")).count() == scored.filter(
+        "is_enhanced_fraud").count() > 0
+
+
+def test_document_job_from_json_records(spark, batch, tmp_path):
+    """Record files to documents: two queries, and hourly documents are never doubled."""
+    source = str(tmp_path / "records")
+    wire = batch.filter("event_id < 3000").withColumns({
+        "timestamp": F.date_format("transaction_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        "location": F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("long")),
+    })
+    for part in (wire.filter("event_id < 1500"), wire.filter("event_id >= 1500")):
+        keyed_records(part).select("value").coalesce(1).write.mode("append").text(source)
+    lines = read_stream(spark, "text", schema="value string", path=source,
+                        max_files_per_trigger=1)
+    parsed = parse_records(lines.withColumn("timestamp", F.current_timestamp()))
+    queries = start_job(parsed, "documents", str(tmp_path / "c"), str(tmp_path / "docs"),
+                        available_now=True)
+    wait_for_all(spark, queries)
+    assert len(queries) == 2
+    found = spark.read.json(str(tmp_path / "docs" / "flagged"))
+    expected = flagged(apply_rules(wire))
+    assert found.count() == expected.count()
+    assert found.select("_id").distinct().count() == found.count()
+    assert {r[0] for r in found.select("document_type").distinct().collect()} == {
+        "flagged_transaction"
+    }
+    hourly = spark.read.json(str(tmp_path / "docs" / "hourly"))
+    assert hourly.count() == 24
+    assert hourly.agg(F.sum("total_transactions")).first()[0] == 3000
+    assert hourly.first().timestamp.startswith("20")
+
+
+def test_console_job_and_unknown_output(spark, stream, tmp_path, capfd):
+    queries = start_job(stream, "console", str(tmp_path / "c"), available_now=True)
+    wait_for_all(spark, queries)
+    assert [q.isActive for q in queries] == [False] * 3
+    with pytest.raises(ValueError, match="unknown output"):
+        start_job(stream, "nowhere", str(tmp_path / "x"))
+    with pytest.raises(ValueError, match="document_root"):
+        start_job(stream, "documents", str(tmp_path / "x"))
+
+
+def test_first_failure_stops_the_other_queries(spark, stream, tmp_path):
+    def fail(batch, batch_id):
+        raise RuntimeError("sink is down")
+
+    bad = start(stream.writeStream.foreachBatch(fail), str(tmp_path / "bad"), "0 seconds")
+    good = start(stream.writeStream.format("noop"), str(tmp_path / "good"), "1 hour")
+    with pytest.raises(Exception, match="sink is down"):
+        wait_for_all(spark, [bad, good])
+    assert not good.isActive and not bad.isActive
+
+
+def test_stream_sources(spark):
+    options = topic_options("host:9092", "topic", 1000, 100)
+    assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "false"
+    assert (options["maxOffsetsPerTrigger"], options["minOffsetsPerTrigger"]) == ("1000", "100")
+    with pytest.raises(ValueError):
+        read_stream(spark, "json")
+    writer = topic_writer_options("host:9092", "topic")
+    assert writer["kafka.acks"] == "all" and writer["kafka.compression.type"] == "gzip"
+
+
+def test_jsonl_append_round_trip(spark, batch, tmp_path):
+    wire = batch.limit(500).withColumns({
+        "timestamp": F.date_format("transaction_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        "location": F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("long")),
+    }).cache()
+    path = str(tmp_path / "out")
+    append_jsonl(wire, path)
+    append_jsonl(wire, path)
+    columns = ["user_id", "amount", "timestamp", "location", "type"]
+    once = wire.select(*columns)
+    assert read_jsonl(spark, path).exceptAll(once.unionAll(once)).count() == 0
+    assert read_jsonl(spark, path).count() == 1000
+    key, value = keyed_records(wire).first()
+    assert json.loads(value)["user_id"] == key
+
+
+# -- bulk documents ------------------------------------------------------------------------
+
+
+class Flaky:
+    def __init__(self, failures, error=ConnectionError):
+        self.failures, self.error, self.calls, self.stored = failures, error, 0, {}
+
+    def bulk(self, documents):
+        self.calls += 1
+        if self.calls <= self.failures:
+            raise self.error("down")
+        self.stored.update(documents)
+
+
+def test_retry_backs_off_on_connection_errors_only():
+    pauses = []
+    client = Flaky(2)
+    send_with_retry(client, [("1", "{}")], pause=pauses.append)
+    assert client.stored == {"1": "{}"} and pauses == [1, 2]
+    with pytest.raises(ConnectionError):
+        send_with_retry(Flaky(3), [("1", "{}")], pause=pauses.append)
+    broken = Flaky(1, ValueError)
+    with pytest.raises(ValueError):
+        send_with_retry(broken, [("1", "{}")], pause=pauses.append)
+    assert broken.calls == 1
+
+
+class FolderClient:
+    """Keeps each document in a file named by its id, so repeats overwrite."""
+
+    def __init__(self, root):
+        self.root = Path(root)
+
+    def bulk(self, documents):
+        assert len(documents) <= 100
+        for name, body in documents:
+            (self.root / f"{name}.json").write_text(body)
+
+
+def test_bulk_writer_runs_on_executors_and_is_idempotent(batch, tmp_path):
+    documents = flagged_documents(flagged(apply_rules(batch)), "event_id")
+    expected = documents.count()
+    root = str(tmp_path)
+    for _ in range(2):
+        assert write_documents(documents, lambda: FolderClient(root), bulk_size=100) == expected
+    files = list(tmp_path.glob("*.json"))
+    assert len(files) == expected
+    body = json.loads(files[0].read_text())
+    assert body["document_type"] == "flagged_transaction"
+    if "latitude" in body:
+        assert body["location"] == {"lat": body["latitude"], "lon": body["longitude"]}
+    datetime.fromisoformat(body["transaction_timestamp"])
+
+
+def test_bulk_failure_fails_the_batch(batch):
+    class Down:
+        def bulk(self, documents):
+            raise ConnectionError("down")
+
+    documents = flagged_documents(flagged(apply_rules(batch)).limit(10), "event_id")
+    with pytest.raises(Exception, match="down"):
+        write_documents(documents, Down, pause=lambda seconds: None)
+
+
+def test_document_contract(spark, batch):
+    hourly = hourly_documents(hourly_metrics(apply_rules(batch)))
+    assert check_document_schema(hourly) is hourly
+    assert hourly.filter("hour = '07'").count() == 1
+    with pytest.raises(ValueError, match="not a document field"):
+        check_document_schema(hourly.withColumn("extra", F.lit(1)))
+    with pytest.raises(ValueError, match="expected bigint"):
+        check_document_schema(hourly.withColumn("flagged_count", F.lit("1")))
+
+
+def test_iso_time_leaves_out_a_zero_fraction(spark):
+    from tallywatch.sinks.documents import iso_text
+
+    for value in (datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4, 5, 600)):
+        df = spark.createDataFrame([(value,)], "t timestamp_ntz")
+        assert df.select(iso_text(F.col("t"))).first()[0] == value.isoformat()
