@@ -64,6 +64,8 @@ def draw_samples(
             lambda tree: F.pmod(F.xxhash64(row_id, tree, F.lit(seed)), F.lit(HASH_RANGE)) < limit,
         )
         drawn = rows.withColumn("tree_id", F.explode(chosen))
+    # One small partition per tree, kept for the build: AQE would merge them into one task.
+    drawn = drawn.repartition(n_trees, "tree_id")
     order = F.xxhash64(row_id, "tree_id", F.lit(seed + 2))
     place = F.row_number().over(Window.partitionBy("tree_id").orderBy(order, row_id))
     return drawn.withColumn("_place", place).filter(F.col("_place") <= sample_size).drop("_place")

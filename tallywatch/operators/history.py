@@ -18,6 +18,7 @@ from tallywatch.operators.skew import (
     SkewPolicy,
     join_on,
 )
+from tallywatch.session import materialize
 
 USER = "user_id"
 TIME = "transaction_timestamp"
@@ -83,23 +84,23 @@ def _collapsed_gaps(rows: DataFrame, row_id: str) -> DataFrame:
     """Same gaps as the window, for rows of hot users.
 
     Gaps are whole seconds, so only the first row of each second has a non-zero gap: the
-    distance to the user's previous distinct second.
+    distance to the user's previous distinct second. The collapsed seconds are stored,
+    because they feed both the day ends and the join.
     """
     rows = rows.withColumn("_second", epoch_seconds(F.col(TIME)))
     day = F.floor(F.col("_second") / SECONDS_PER_DAY)
     seconds = rows.groupBy(USER, day.alias("_day"), "_second").agg(
         F.min(F.struct(TIME, row_id)).alias("_first")
     )
-    last_of_day = seconds.groupBy(USER, "_day").agg(F.max("_second").alias("_last"))
-    before_day = last_of_day.select(
-        USER,
-        "_day",
-        F.lag("_last", 1).over(Window.partitionBy(USER).orderBy("_day")).alias("_before"),
+    within_day = F.lag("_second", 1).over(Window.partitionBy(USER, "_day").orderBy("_second"))
+    seconds = materialize(seconds.withColumn("_previous", within_day))
+    before_day = F.lag("_last", 1).over(Window.partitionBy(USER).orderBy("_day"))
+    days = (
+        seconds.groupBy(USER, "_day")
+        .agg(F.max("_second").alias("_last"))
+        .select(USER, "_day", before_day.alias("_before"))
     )
-    within = F.lag("_second", 1).over(Window.partitionBy(USER, "_day").orderBy("_second"))
-    firsts = join_on(
-        seconds.withColumn("_previous", within), before_day, [USER, "_day"]
-    ).select(
+    firsts = join_on(seconds, days, [USER, "_day"]).select(
         USER,
         "_second",
         F.col(f"_first.{row_id}").alias(row_id),

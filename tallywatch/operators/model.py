@@ -153,10 +153,10 @@ class AnomalyModel:
         One shuffle serves all columns.
         """
         fitted = self._fitted()
-        rows = self._inputs(feature_table).select(
+        rows = materialize(self._inputs(feature_table).select(
             self.row_id,
             F.array(*[F.col(c).cast("double") for c in self.features]).alias("own"),
-        )
+        ))
         n_buckets = rows.count() // SHUFFLE_BUCKET_ROWS + 1
         bucket = F.pmod(F.xxhash64(self.row_id, F.lit(self.seed)), F.lit(n_buckets))
         order = Window.partitionBy("bucket").orderBy(

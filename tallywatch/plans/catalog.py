@@ -48,7 +48,7 @@ from tallywatch.sinks.documents import flagged_documents, hourly_documents
 from tallywatch.sinks.records import append_jsonl, keyed_records
 from tallywatch.sources.files import read_jsonl
 from tallywatch.sources.parse import parse_records, slim
-from tallywatch.streaming.causal import STATE_STORE, causal_user_features
+from tallywatch.streaming.causal import causal_batch_writer
 from tallywatch.streaming.queries import (
     alert_stream,
     frequency_stream,
@@ -480,17 +480,14 @@ def hourly_stream_result(spark, folder):
     )
 
 
-def causal_features(spark, folder):
-    ship_package(spark)
+def causal_user_features(spark, folder):
     path = fresh_path(spark, "causal")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    writer = causal_user_features(transaction_stream(spark, folder)).writeStream.outputMode(
-        "append"
+    writer = transaction_stream(spark, folder).writeStream.foreachBatch(
+        causal_batch_writer(f"{path}/state", snapshot_writer(f"{path}/data"))
     )
-    start(
-        writer.format("parquet").option("path", f"{path}/data"), f"{path}/checkpoint", None, True
-    ).awaitTermination()
-    return _rounded(spark.read.parquet(f"{path}/data"), 6, "user_avg_so_far")
+    start(writer, f"{path}/checkpoint", None, available_now=True).awaitTermination()
+    features = spark.read.parquet(f"{path}/data").drop("batch_id")
+    return _rounded(features, 6, "user_avg_so_far")
 
 
 # -- model ---------------------------------------------------------------------------------
@@ -601,7 +598,7 @@ QUERIES: dict[str, Query] = {
     "alert_stream": alert_stream_result,
     "frequency_stream": frequency_stream_result,
     "hourly_stream": hourly_stream_result,
-    "causal_user_features": causal_features,
+    "causal_user_features": causal_user_features,
     "forest_nodes": forest_nodes,
     "forest_scores": forest_scores,
     "model_evaluation": model_evaluation,

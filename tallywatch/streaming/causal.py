@@ -1,79 +1,180 @@
-"""Per-user features that only look back, kept in state across micro-batches.
+"""Per-user features that only look back, carried across micro-batches.
 
-The state of a user is four numbers. The rows of one user in one micro-batch go through
-one task, so bound the micro-batch at the source (offsets or files per trigger).
+Each micro-batch computes running values inside the batch and adds the users' totals from a
+state table in the shared folder. The state is written per batch id, so a batch that is run
+again starts from the same state and replaces its own output.
+
+Inside a batch, ordinary users take one window pass. Rows of hot users are range-partitioned
+by (user, time, row id), which cuts a hot user into even runs; running values are computed
+per run and shifted by the totals of the earlier runs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallywatch.functions.clock import epoch_seconds
-
-OUTPUT = (
-    "user_id string, event_id long, user_count_so_far long, user_avg_so_far double, "
-    "seconds_since_last long"
+from tallywatch.operators.history import ROW_ID, TIME, USER
+from tallywatch.operators.skew import (
+    DEFAULT_POLICY,
+    KEY_ROWS,
+    KeyTable,
+    SkewPolicy,
+    attach,
+    join_on,
 )
-STATE = "row_count long, amount_count long, amount_sum double, last_second long"
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from tallywatch.session import materialize
+from tallywatch.streaming.queries import BatchWriter
 
+# Every so many batches the state of all users is written, otherwise that of the batch's users.
+FULL_STATE_EVERY = 20
 
-class _RunningUser(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        batch = pd.concat(list(rows)).sort_values(["transaction_timestamp", "event_id"])
-        row_count, amount_count, amount_sum, last = (
-            self.totals.get() if self.totals.exists() else (0, 0, 0.0, None)
-        )
-        seconds = batch["second"].astype("Int64")
-        counts = batch["amount"].notna().cumsum() + amount_count
-        sums = batch["amount"].fillna(0.0).cumsum() + amount_sum
-        before = seconds.shift(1)
-        before.iloc[0] = pd.NA if last is None else last
-        self.totals.update((
-            row_count + len(batch),
-            int(counts.iloc[-1]),
-            float(sums.iloc[-1]),
-            None if pd.isna(seconds.iloc[-1]) else int(seconds.iloc[-1]),
-        ))
-        yield pd.DataFrame({
-            "user_id": key[0],
-            "event_id": batch["event_id"],
-            "user_count_so_far": range(row_count + 1, row_count + len(batch) + 1),
-            "user_avg_so_far": (sums / counts).where(counts > 0),
-            "seconds_since_last": seconds - before,
-        })
+def _running(window) -> list:
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return [
+        F.count("*").over(so_far).alias("_rows"),
+        F.count("amount").over(so_far).alias("_amounts"),
+        F.coalesce(F.sum("amount").over(so_far), F.lit(0.0)).alias("_sum"),
+        F.lag("_second", 1).over(window).alias("_previous"),
+    ]
 
-    def close(self) -> None:
-        pass
+
+def _run_hot_users(rows: DataFrame, row_id: str, n_runs: int) -> DataFrame:
+    """Running values for hot users; no group is larger than one of ``n_runs`` ranges."""
+    placed = materialize(
+        rows.repartitionByRange(n_runs, USER, TIME, row_id).withColumn(
+            "_run", F.spark_partition_id()
+        )
+    )
+    runs = placed.groupBy(USER, "_run").agg(
+        F.count("*").alias("r"),
+        F.count("amount").alias("a"),
+        F.coalesce(F.sum("amount"), F.lit(0.0)).alias("s"),
+        F.max("_second").alias("l"),
+    )
+    earlier = Window.partitionBy(USER).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = runs.select(
+        USER,
+        "_run",
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_shift_{c}") for c in "ras"],
+        F.max("l").over(earlier).alias("_shift_l"),
+    )
+    inside = placed.select("*", *_running(Window.partitionBy(USER, "_run").orderBy(TIME, row_id)))
+    joined = join_on(inside, shifts, [USER, "_run"])
+    return joined.withColumns({
+        "_rows": F.col("_rows") + F.col("_shift_r"),
+        "_amounts": F.col("_amounts") + F.col("_shift_a"),
+        "_sum": F.col("_sum") + F.col("_shift_s"),
+        "_previous": F.coalesce("_previous", "_shift_l"),
+    }).drop("_run", "_shift_r", "_shift_a", "_shift_s", "_shift_l")
 
 
-def causal_user_features(transactions: DataFrame) -> DataFrame:
+def causal_features(
+    transactions: DataFrame,
+    state: DataFrame | None = None,
+    row_id: str = ROW_ID,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> tuple[DataFrame, DataFrame]:
     """Count and mean up to and including each row, and seconds since the user's last row.
 
-    Needs the RocksDB state store: ``spark.sql.streaming.stateStore.providerClass``.
+    ``state`` holds the users' totals before these rows. Also returns the totals after them,
+    for the users that occur.
     """
-    ts = F.col("transaction_timestamp").cast("timestamp")
-    return (
-        transactions.select(
-            "user_id",
-            "event_id",
-            "amount",
-            ts.alias("transaction_timestamp"),
-            epoch_seconds(ts).alias("second"),
-        )
-        .groupBy("user_id")
-        .transformWithStateInPandas(
-            statefulProcessor=_RunningUser(),
-            outputStructType=OUTPUT,
-            outputMode="append",
-            timeMode="none",
-        )
+    ts = F.col(TIME).cast("timestamp")
+    rows = transactions.select(
+        USER, row_id, "amount", ts.alias(TIME), epoch_seconds(ts).alias("_second")
+    )
+    users = KeyTable(
+        rows,
+        [USER],
+        F.count("*").alias("row_count"),
+        F.count("amount").alias("amount_count"),
+        F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount_sum"),
+        F.max("_second").alias("last_second"),
+        policy=policy,
     )
+    before = _known_users(state, users)
+    by_user = Window.partitionBy(USER).orderBy(TIME, row_id)
+    if users.has_hot_keys:
+        hot = users.hot()
+        n_hot_rows = hot.agg(F.sum(KEY_ROWS)).first()[0]
+        hot_users = F.broadcast(hot.select(USER))
+        running = join_on(rows, hot_users, [USER], "left_anti").select(
+            "*", *_running(by_user)
+        ).unionByName(_run_hot_users(
+            join_on(rows, hot_users, [USER], "left_semi"),
+            row_id,
+            2 * (n_hot_rows // users.row_limit + 1),
+        ))
+    else:
+        running = rows.select("*", *_running(by_user))
+    joined = attach(running, before, users.n_keys, users, row_id)
+    amounts = F.col("_amounts") + F.coalesce("amount_count", F.lit(0))
+    features = joined.select(
+        USER,
+        row_id,
+        (F.col("_rows") + F.coalesce("row_count", F.lit(0))).alias("user_count_so_far"),
+        F.when(
+            amounts > 0, (F.col("_sum") + F.coalesce("amount_sum", F.lit(0.0))) / amounts
+        ).alias("user_avg_so_far"),
+        (F.col("_second") - F.coalesce("_previous", "last_second")).alias("seconds_since_last"),
+    )
+    return features, merge_states(users.table.drop(KEY_ROWS), before)
+
+
+def _known_users(state: DataFrame | None, users: KeyTable) -> DataFrame:
+    """State rows of the users that occur; the state is filtered, not shuffled, if those are
+    few."""
+    if state is None:
+        return users.table.drop(KEY_ROWS).filter(F.lit(False))
+    names = users.table.select(USER)
+    if users.n_keys <= users.policy.broadcast_keys:
+        names = F.broadcast(names)
+    return join_on(state, names, [USER], "left_semi")
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """Totals of several row sets taken together."""
+    merged = states[0]
+    for state in states[1:]:
+        merged = merged.unionByName(state)
+    return merged.groupBy(USER).agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("amount_count").alias("amount_count"),
+        F.sum("amount_sum").alias("amount_sum"),
+        F.max("last_second").alias("last_second"),
+    )
+
+
+def read_state(spark: SparkSession, root: str, before_batch: int) -> DataFrame | None:
+    """The newest totals per user before a batch: the last full state and the changes since."""
+    if before_batch == 0:
+        return None
+    last_full = (before_batch - 1) // FULL_STATE_EVERY * FULL_STATE_EVERY
+    folders = [f"{root}/batch_id={i}" for i in range(last_full, before_batch)]
+    changes = spark.read.option("basePath", root).parquet(*folders)
+    totals = [c for c in changes.columns if c not in (USER, "batch_id")]
+    return changes.groupBy(USER).agg(
+        F.max_by(F.struct(*totals), "batch_id").alias("newest")
+    ).select(USER, "newest.*")
+
+
+def causal_batch_writer(
+    state_root: str,
+    write: BatchWriter,
+    row_id: str = ROW_ID,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> BatchWriter:
+    """``foreachBatch`` function; ``write`` must replace the output of a repeated batch."""
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        state = read_state(batch.sparkSession, state_root, batch_id)
+        features, totals = causal_features(batch, state, row_id, policy)
+        write(features, batch_id)
+        if batch_id % FULL_STATE_EVERY == 0 and state is not None:
+            unchanged = join_on(state, totals.select(USER), [USER], "left_anti")
+            totals = totals.unionByName(unchanged)
+        totals.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
+
+    return run_batch

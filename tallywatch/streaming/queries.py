@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,10 +90,10 @@ def snapshot_writer(root: str) -> BatchWriter:
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest complete snapshot below ``root``; older folders are pruned by the filter."""
+    """The newest complete snapshot below ``root``, found from the folder names alone."""
     snapshots = spark.read.parquet(root)
-    newest = snapshots.agg(F.max("batch_id").alias("batch_id")).scalar()
-    return snapshots.filter(F.col("batch_id") == newest).drop("batch_id")
+    batch_ids = re.findall(r"batch_id=(\d+)", "\n".join(snapshots.inputFiles()))
+    return snapshots.filter(F.col("batch_id") == max(map(int, batch_ids))).drop("batch_id")
 
 
 def change_writer(root: str) -> BatchWriter:

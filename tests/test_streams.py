@@ -1,16 +1,17 @@
 """Streams on file sources: batch equals stream, restarts, late rows, sinks."""
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallywatch.operators.features import prepare_features
 from tallywatch.operators.metrics import frequent_users, hourly_metrics
 from tallywatch.operators.model import AnomalyModel
-from tallywatch.operators.features import prepare_features
 from tallywatch.operators.rules import apply_rules, flagged
+from tallywatch.operators.skew import SkewPolicy
 from tallywatch.plans.catalog import DAILY
 from tallywatch.plans.tables import transactions
 from tallywatch.sinks.documents import (
@@ -24,7 +25,7 @@ from tallywatch.sinks.records import append_jsonl, keyed_records, topic_writer_o
 from tallywatch.sources.files import read_jsonl
 from tallywatch.sources.parse import parse_records
 from tallywatch.sources.streams import read_stream, topic_options
-from tallywatch.streaming.causal import STATE_STORE, causal_user_features
+from tallywatch.streaming import causal
 from tallywatch.streaming.queries import (
     alert_stream,
     change_writer,
@@ -137,24 +138,60 @@ def test_late_rows_are_dropped_and_counted(spark, batch, tmp_path):
     assert dropped > 0
 
 
-def test_causal_features_over_several_batches(spark, stream, batch, tmp_path):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    try:
-        writer = causal_user_features(stream).writeStream.outputMode("append").format("parquet")
-        drain(writer.option("path", str(tmp_path / "out")), tmp_path / "c")
-    finally:
-        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-    batch.createOrReplaceTempView("tx_batch")
-    expected = spark.sql("""
-        SELECT user_id, event_id, count(*) OVER w, avg(amount) OVER w,
-               unix_timestamp(transaction_timestamp) - lag(unix_timestamp(transaction_timestamp))
-                 OVER (PARTITION BY user_id ORDER BY transaction_timestamp, event_id)
-        FROM tx_batch
-        WINDOW w AS (PARTITION BY user_id ORDER BY transaction_timestamp, event_id
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
-    def key(df):
-        return {r[1]: (r[0], r[2], round(r[3], 4), r[4]) for r in df.collect()}
-    assert key(spark.read.parquet(str(tmp_path / "out"))) == key(expected)
+EXPECTED_CAUSAL = """
+    SELECT user_id, event_id, count(*) OVER w, avg(amount) OVER w,
+           unix_timestamp(transaction_timestamp) - lag(unix_timestamp(transaction_timestamp))
+             OVER (PARTITION BY user_id ORDER BY transaction_timestamp, event_id)
+    FROM {rows}
+    WINDOW w AS (PARTITION BY user_id ORDER BY transaction_timestamp, event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+def causal_rows(df):
+    result = {}
+    for user, event, count, mean, gap in df.collect():
+        assert event not in result
+        result[event] = (user, count, None if mean is None else round(mean, 4), gap)
+    return result
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(0, 50, 10**6)])
+def test_causal_features_over_several_batches(
+    spark, stream, batch, tmp_path, policy, monkeypatch
+):
+    monkeypatch.setattr(causal, "FULL_STATE_EVERY", 2)
+    write = causal.causal_batch_writer(
+        str(tmp_path / "state"), snapshot_writer(str(tmp_path / "out")), policy=policy
+    )
+    query = drain(stream.writeStream.foreachBatch(write), tmp_path / "c")
+    assert len(query.recentProgress) >= N_FILES
+    columns = ["user_id", "event_id", "user_count_so_far", "user_avg_so_far",
+               "seconds_since_last"]
+    found = spark.read.parquet(str(tmp_path / "out"))
+    expected = causal_rows(spark.sql(EXPECTED_CAUSAL.format(rows="{df}"), df=batch))
+    assert causal_rows(found.select(*columns)) == expected
+    # A batch that runs again after a lost commit starts from the same state.
+    write(batch.filter("event_id >= 7500"), 3)
+    assert causal_rows(spark.read.parquet(str(tmp_path / "out")).select(*columns)) == expected
+
+
+def test_causal_features_of_hot_users_with_ties_and_nulls(spark):
+    start_time = datetime(2024, 1, 1)
+    rows = [
+        (i, "hot" if i % 3 else None if i % 2 else f"u{i % 5}",
+         None if i % 7 == 0 else float(i),
+         None if i % 11 == 0 else start_time + timedelta(seconds=i // 40))
+        for i in range(2000)
+    ]
+    df = spark.createDataFrame(
+        rows, "event_id long, user_id string, amount double, transaction_timestamp timestamp"
+    ).repartition(5)
+    features, totals = causal.causal_features(df, policy=SkewPolicy(0, 100, 10**6))
+    expected = causal_rows(spark.sql(EXPECTED_CAUSAL.format(rows="{df}"), df=df))
+    assert causal_rows(features) == expected
+    assert {r.user_id: r.row_count for r in totals.collect()} == {
+        r.user_id: r["count"] for r in df.groupBy("user_id").count().collect()
+    }
 
 
 def test_profiles_replay_the_past(batch):
