@@ -2,8 +2,8 @@
 
 Ordinary users are handled by one window pass (one shuffle on the user). A hot user is
 never gathered in one task: its rows are collapsed to one row per second before any
-window runs, so a window group has at most 86,400 rows, and counts and means come from
-the broadcast key table.
+window runs, so a window group has at most 86,400 rows, and its count and mean come from a
+partial aggregation and a broadcast.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from tallywatch.operators.skew import (
     KeyTable,
     SkewPolicy,
     join_on,
+    with_key_aggregates,
 )
 from tallywatch.session import materialize
 
@@ -26,30 +27,23 @@ ROW_ID = "event_id"
 SECONDS_PER_DAY = 86_400
 
 
-def user_table(rows: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> KeyTable:
-    """Count and mean amount per user."""
-    return KeyTable(
-        rows,
-        [USER],
-        F.count("*").alias("user_transaction_count"),
-        F.avg("amount").alias("user_avg_amount"),
-        policy=policy,
-    )
+def user_aggregates() -> dict[str, Column]:
+    return {
+        "user_transaction_count": F.count("*"),
+        "user_avg_amount": F.avg("amount"),
+    }
 
 
-def with_user_stats(
-    rows: DataFrame, row_id: str = ROW_ID, policy: SkewPolicy = DEFAULT_POLICY
-) -> DataFrame:
+def with_user_stats(rows: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Adds each user's transaction count and mean amount."""
-    return user_table(rows, policy).attach_to(rows, row_id)
+    return with_key_aggregates(rows, [USER], user_aggregates(), policy)
 
 
-def with_user_count(
-    rows: DataFrame, row_id: str = ROW_ID, policy: SkewPolicy = DEFAULT_POLICY
-) -> DataFrame:
+def with_user_count(rows: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Adds each user's transaction count only."""
-    counts = KeyTable(rows, [USER], F.count("*").alias("user_transaction_count"), policy=policy)
-    return counts.attach_to(rows, row_id)
+    return with_key_aggregates(
+        rows, [USER], {"user_transaction_count": F.count("*")}, policy
+    )
 
 
 def with_history(
@@ -58,14 +52,18 @@ def with_history(
     policy: SkewPolicy = DEFAULT_POLICY,
     users: KeyTable | None = None,
 ) -> DataFrame:
-    """Adds ``gap_seconds`` (null for a first transaction), user count and user mean."""
-    users = users or user_table(rows, policy)
+    """Adds ``gap_seconds`` (null for a first transaction), user count and user mean.
+
+    ``users`` may hold the user sizes if they are known already.
+    """
+    users = users or KeyTable(rows, [USER], user_aggregates(), policy)
     if not users.has_hot_keys:
         return _windowed(rows, row_id)
-    hot_users = users.hot().select(USER, "user_transaction_count", "user_avg_amount")
-    ordinary = join_on(rows, F.broadcast(hot_users.select(USER)), [USER], "left_anti")
-    hot = join_on(rows, F.broadcast(hot_users), [USER], "inner")
-    return _windowed(ordinary, row_id).unionByName(_collapsed_gaps(hot, row_id))
+    ordinary, hot = users.split(rows)
+    known = F.broadcast(users.hot.select(USER, *user_aggregates()))
+    return _windowed(ordinary, row_id).unionByName(
+        _collapsed_gaps(join_on(hot, known, [USER]), row_id)
+    )
 
 
 def _windowed(rows: DataFrame, row_id: str) -> DataFrame:
@@ -75,8 +73,7 @@ def _windowed(rows: DataFrame, row_id: str) -> DataFrame:
     return rows.select(
         "*",
         (seconds - previous).alias("gap_seconds"),
-        F.count("*").over(user).alias("user_transaction_count"),
-        F.avg("amount").over(user).alias("user_avg_amount"),
+        *[column.over(user).alias(name) for name, column in user_aggregates().items()],
     )
 
 
@@ -128,15 +125,10 @@ def relative_deviation(amount: Column, mean: Column) -> Column:
 
 
 def with_recipient_features(
-    rows: DataFrame,
-    recipient: str = "recipient_id",
-    row_id: str = ROW_ID,
-    policy: SkewPolicy = DEFAULT_POLICY,
+    rows: DataFrame, recipient: str = "recipient_id", policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
     """Adds how often the user paid this recipient, and whether it was only once."""
-    pairs = KeyTable(
-        rows, [USER, recipient], F.count("*").alias("recipient_frequency"), policy=policy
-    )
-    return pairs.attach_to(rows, row_id).withColumn(
+    frequency = {"recipient_frequency": F.count("*")}
+    return with_key_aggregates(rows, [USER, recipient], frequency, policy).withColumn(
         "is_new_recipient", F.when(F.col("recipient_frequency") == 1, 1).otherwise(0)
     )

@@ -1,21 +1,21 @@
-"""Joins of rows to one-row-per-key tables that stay balanced when some keys are hot.
+"""Per-key aggregates and joins that stay balanced when some keys are hot.
 
-The key table is the result of a partial aggregation and is written once to the shared
-folder, so its size and its hot keys are known before the rows are touched:
+Key counts are looked at before the rows are moved, so the plan fits the data:
 
-* few keys: the table is broadcast and the rows are not shuffled at all;
-* many keys: rows and table are shuffled on the key, and each hot key is split into as
-  many salted parts as its row count asks for.
+* few keys: their aggregates are broadcast and the rows are not shuffled at all;
+* many keys: one window pass over the rows, without the hot keys;
+* hot keys: partial aggregation, then a broadcast of at most ``max_hot_keys`` rows, or a
+  salted join that cuts each hot key into as many parts as its row count asks for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.session import materialize
@@ -51,36 +51,105 @@ def join_on(
 
 
 class KeyTable:
-    """Aggregates of ``rows`` per key, stored, with known size and hot keys."""
+    """Sizes, hot keys and aggregates of ``rows`` per key.
+
+    Only what is asked for is computed: one scan of the key columns for the sizes, one partial
+    aggregation for the hot keys. The table is stored if it is small enough to broadcast, the
+    hot keys always.
+    """
 
     def __init__(
         self,
         rows: DataFrame,
         keys: Sequence[str],
-        *aggregates: Column,
+        aggregates: dict[str, Column] | None = None,
         policy: SkewPolicy = DEFAULT_POLICY,
     ):
         self.keys = list(keys)
         self.policy = policy
-        self.table = materialize(
-            rows.groupBy(*self.keys).agg(F.count("*").alias(KEY_ROWS), *aggregates)
+        self._grouped = rows.groupBy(*self.keys).agg(
+            F.count("*").alias(KEY_ROWS),
+            *[column.alias(name) for name, column in (aggregates or {}).items()],
         )
-        size = self.table.agg(
-            F.count("*").alias("keys"),
-            F.coalesce(F.sum(KEY_ROWS), F.lit(0)).alias("rows"),
-            F.coalesce(F.max(KEY_ROWS), F.lit(0)).alias("largest"),
+        size = rows.agg(
+            F.count("*").alias("rows"),
+            F.approx_count_distinct(F.xxhash64(*self.keys)).alias("keys"),
         ).first()
-        self.n_keys, self.n_rows = size["keys"], size["rows"]
+        self.n_rows, self._estimated_keys = size["rows"], size["keys"]
         self.row_limit = max(policy.hot_rows, self.n_rows // policy.max_hot_keys)
-        self.has_hot_keys = size["largest"] > self.row_limit
 
+    @cached_property
+    def _stored(self) -> tuple[DataFrame, int] | None:
+        """The table and its exact size, unless the estimate says it is too large."""
+        if self._estimated_keys > self.policy.broadcast_keys:
+            return None
+        table = materialize(self._grouped)
+        return table, table.count()
+
+    @property
+    def is_small(self) -> bool:
+        return self._stored is not None and self._stored[1] <= self.policy.broadcast_keys
+
+    @property
+    def n_keys(self) -> int:
+        return self._stored[1] if self._stored else self._estimated_keys
+
+    @property
+    def table(self) -> DataFrame:
+        return self._stored[0] if self._stored else self._grouped
+
+    @cached_property
+    def _hot(self) -> tuple[DataFrame, int]:
+        hot = self.table.filter(F.col(KEY_ROWS) > self.row_limit)
+        if not self._stored:
+            hot = materialize(hot)
+        return hot, hot.agg(F.coalesce(F.sum(KEY_ROWS), F.lit(0))).first()[0]
+
+    @property
+    def has_hot_keys(self) -> bool:
+        return self.n_rows > self.row_limit and self._hot[1] > 0
+
+    @property
     def hot(self) -> DataFrame:
-        """Rows of the key table whose key is hot: at most ``max_hot_keys``."""
-        return self.table.filter(F.col(KEY_ROWS) > self.row_limit)
+        """Table rows of the hot keys: at most ``max_hot_keys``."""
+        return self._hot[0]
+
+    @property
+    def n_hot_rows(self) -> int:
+        return self._hot[1] if self.has_hot_keys else 0
+
+    def split(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of ordinary and of hot keys."""
+        hot = F.broadcast(self.hot.select(*self.keys))
+        return (
+            join_on(rows, hot, self.keys, "left_anti"),
+            join_on(rows, hot, self.keys, "left_semi"),
+        )
 
-    def attach_to(self, rows: DataFrame, row_id: str) -> DataFrame:
-        """Left join of the aggregates to ``rows``, one output row per input row."""
-        return attach(rows, self.table.drop(KEY_ROWS), self.n_keys, self, row_id)
+
+def with_key_aggregates(
+    rows: DataFrame,
+    keys: Sequence[str],
+    aggregates: dict[str, Column],
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Adds the aggregates over all rows of the same key to every row."""
+    sizes = KeyTable(rows, keys, aggregates, policy)
+    if sizes.is_small:
+        return join_on(rows, F.broadcast(sizes.table.drop(KEY_ROWS)), keys)
+
+    def windowed(part: DataFrame) -> DataFrame:
+        same_key = Window.partitionBy(*keys)
+        return part.select(
+            "*", *[column.over(same_key).alias(name) for name, column in aggregates.items()]
+        )
+
+    if not sizes.has_hot_keys:
+        return windowed(rows)
+    ordinary, hot = sizes.split(rows)
+    return windowed(ordinary).unionByName(
+        join_on(hot, F.broadcast(sizes.hot.drop(KEY_ROWS)), keys)
+    )
 
 
 def attach(
@@ -95,7 +164,7 @@ def attach(
         return join_on(rows, F.broadcast(per_key), keys)
     if not sizes.has_hot_keys:
         return join_on(rows, per_key, keys)
-    parts = F.broadcast(sizes.hot().select(
+    parts = F.broadcast(sizes.hot.select(
         *keys, F.ceil(F.col(KEY_ROWS) / F.lit(sizes.row_limit)).cast("int").alias("_parts")
     ))
     part_of_row = F.pmod(F.xxhash64(row_id), F.col("_parts"))

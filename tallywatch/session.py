@@ -17,6 +17,7 @@ def build_session(app_name: str = "tallywatch", **settings: str) -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
     )
     for key, value in settings.items():

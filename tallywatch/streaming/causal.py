@@ -11,7 +11,7 @@ per run and shifted by the totals of the earlier runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallywatch.functions.clock import epoch_seconds
@@ -25,13 +25,13 @@ from tallywatch.operators.skew import (
     join_on,
 )
 from tallywatch.session import materialize
-from tallywatch.streaming.queries import BatchWriter
+from tallywatch.streaming.queries import BatchWriter, fan_out
 
 # Every so many batches the state of all users is written, otherwise that of the batch's users.
 FULL_STATE_EVERY = 20
 
 
-def _running(window) -> list:
+def _running(window: WindowSpec) -> list[Column]:
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return [
         F.count("*").over(so_far).alias("_rows"),
@@ -89,25 +89,22 @@ def causal_features(
     users = KeyTable(
         rows,
         [USER],
-        F.count("*").alias("row_count"),
-        F.count("amount").alias("amount_count"),
-        F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount_sum"),
-        F.max("_second").alias("last_second"),
-        policy=policy,
+        {
+            "row_count": F.count("*"),
+            "amount_count": F.count("amount"),
+            "amount_sum": F.coalesce(F.sum("amount"), F.lit(0.0)),
+            "last_second": F.max("_second"),
+        },
+        policy,
     )
     before = _known_users(state, users)
     by_user = Window.partitionBy(USER).orderBy(TIME, row_id)
     if users.has_hot_keys:
-        hot = users.hot()
-        n_hot_rows = hot.agg(F.sum(KEY_ROWS)).first()[0]
-        hot_users = F.broadcast(hot.select(USER))
-        running = join_on(rows, hot_users, [USER], "left_anti").select(
-            "*", *_running(by_user)
-        ).unionByName(_run_hot_users(
-            join_on(rows, hot_users, [USER], "left_semi"),
-            row_id,
-            2 * (n_hot_rows // users.row_limit + 1),
-        ))
+        ordinary, hot = users.split(rows)
+        n_runs = 2 * (users.n_hot_rows // users.row_limit + 1)
+        running = ordinary.select("*", *_running(by_user)).unionByName(
+            _run_hot_users(hot, row_id, n_runs)
+        )
     else:
         running = rows.select("*", *_running(by_user))
     joined = attach(running, before, users.n_keys, users, row_id)
@@ -130,7 +127,7 @@ def _known_users(state: DataFrame | None, users: KeyTable) -> DataFrame:
     if state is None:
         return users.table.drop(KEY_ROWS).filter(F.lit(False))
     names = users.table.select(USER)
-    if users.n_keys <= users.policy.broadcast_keys:
+    if users.is_small:
         names = F.broadcast(names)
     return join_on(state, names, [USER], "left_semi")
 
@@ -177,4 +174,4 @@ def causal_batch_writer(
             totals = totals.unionByName(unchanged)
         totals.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
 
-    return run_batch
+    return fan_out(run_batch)

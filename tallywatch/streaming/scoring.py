@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.clock import epoch_seconds
 from tallywatch.operators.features import add_feature_columns
-from tallywatch.operators.history import ROW_ID, TIME, USER, with_history
+from tallywatch.operators.history import ROW_ID, TIME, USER, user_aggregates, with_history
 from tallywatch.operators.model import AnomalyModel
 from tallywatch.operators.rules import apply_rules
 from tallywatch.operators.skew import DEFAULT_POLICY, KeyTable, SkewPolicy, attach, join_on
 from tallywatch.plans.scoring import with_enhanced_flag
 from tallywatch.schema import DEFAULT_CONFIG, RiskConfig
-from tallywatch.streaming.queries import BatchWriter
+from tallywatch.streaming.queries import BatchWriter, fan_out
 
 
 def build_profiles(history: DataFrame) -> DataFrame:
@@ -40,13 +40,14 @@ def features_with_profiles(
     users = KeyTable(
         batch,
         [USER],
-        F.count("*").alias("user_transaction_count"),
-        F.avg("amount").alias("user_avg_amount"),
-        F.count("amount").alias("batch_amounts"),
-        F.sum("amount").alias("batch_sum"),
-        policy=policy,
+        {
+            **user_aggregates(),
+            "batch_amounts": F.count("amount"),
+            "batch_sum": F.sum("amount"),
+        },
+        policy,
     )
-    if users.n_keys <= policy.broadcast_keys:
+    if users.is_small:
         profiles = join_on(profiles, F.broadcast(users.table.select(USER)), [USER], "left_semi")
 
     def both(now: str, past: str):
@@ -85,4 +86,4 @@ def scoring_batch_writer(
         )
         write(with_enhanced_flag(model.score(features)), batch_id)
 
-    return score_batch
+    return fan_out(score_batch)

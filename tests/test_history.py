@@ -98,7 +98,7 @@ def test_attached_statistics_are_exact_under_skew(skewed, policy):
 
 def test_hot_keys_are_found_and_bounded(skewed):
     table = KeyTable(skewed, ["user_id"], policy=TINY)
-    assert {r.user_id for r in table.hot().collect()} == {"hot", None}
+    assert {r.user_id for r in table.hot.collect()} == {"hot", None}
     assert table.has_hot_keys
     assert not KeyTable(skewed, ["user_id"]).has_hot_keys
 
