@@ -57,8 +57,8 @@ class AnomalyModel:
     def train(self, feature_table: DataFrame) -> AnomalyModel:
         """Fit on ``feature_table`` and set the cut at its ``contamination`` quantile.
 
-        The table is read twice, for the samples and for the scores, so its model columns
-        are stored first.
+        Its model columns are stored first, because samples and scores both read them, and
+        so are the scores, which the quantile reads several times.
         """
         rows = materialize(self._inputs(feature_table).select(self.row_id, *self.features))
         n_rows = rows.count()
@@ -69,9 +69,7 @@ class AnomalyModel:
             self.n_trees, self.sample_size, self.seed,
         ).toPandas()  # at most n_trees * 2 * sample_size rows
         self.forest = Forest(nodes, min(self.sample_size, n_rows), self.features)
-        scores = rows.select(self.forest.raw_score_column(rows).alias("score"))
-        if n_rows > 1_000_000:
-            scores = materialize(scores)
+        scores = materialize(rows.select(self.forest.raw_score_column(rows).alias("score")))
         self.forest.offset = exact_quantile(scores, "score", self.contamination)
         if self.path:
             self.save(feature_table.sparkSession)

@@ -46,17 +46,17 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
     context = spark.sparkContext
-    known = context.getCheckpointDir()
-    if known:
-        return known.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tallywatch-"))
-    return context.getCheckpointDir().rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder and not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    folder = folder or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = tempfile.mkdtemp(prefix="tallywatch-")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

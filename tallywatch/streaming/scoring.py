@@ -1,4 +1,4 @@
-"""Model scoring of micro-batches against a static profile table."""
+"""Profile joins and model scoring of micro-batches."""
 
 from __future__ import annotations
 
@@ -26,6 +26,32 @@ def build_profiles(history: DataFrame) -> DataFrame:
     )
 
 
+def with_profiles(
+    stream: DataFrame, profiles: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Stream-static left join to a profile table that is small enough to broadcast."""
+    n_profiles = profiles.limit(policy.broadcast_keys + 1).count()
+    if n_profiles > policy.broadcast_keys:
+        raise ValueError("too many profiles to broadcast, use profile_batch_writer")
+    return stream.join(F.broadcast(profiles), USER, "left")
+
+
+def profile_batch_writer(
+    profiles: DataFrame,
+    write: BatchWriter,
+    row_id: str = ROW_ID,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> BatchWriter:
+    """``foreachBatch`` function for the same join with any number of profiles and hot users."""
+    n_profiles = profiles.count()
+
+    def join_batch(batch: DataFrame, batch_id: int) -> None:
+        users = KeyTable(batch, [USER], policy=policy)
+        write(attach(batch, profiles, n_profiles, users, row_id), batch_id)
+
+    return fan_out(join_batch)
+
+
 def features_with_profiles(
     batch: DataFrame,
     profiles: DataFrame,

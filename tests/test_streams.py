@@ -13,6 +13,7 @@ from tallywatch.operators.model import AnomalyModel
 from tallywatch.operators.rules import apply_rules, flagged
 from tallywatch.operators.skew import SkewPolicy
 from tallywatch.plans.catalog import DAILY
+from tallywatch.plans.stream_job import run_stream_job
 from tallywatch.plans.tables import transactions
 from tallywatch.sinks.documents import (
     check_document_schema,
@@ -23,7 +24,6 @@ from tallywatch.sinks.documents import (
 )
 from tallywatch.sinks.records import append_jsonl, keyed_records, topic_writer_options
 from tallywatch.sources.files import read_jsonl
-from tallywatch.sources.parse import parse_records
 from tallywatch.sources.streams import read_stream, topic_options
 from tallywatch.streaming import causal
 from tallywatch.streaming.queries import (
@@ -42,7 +42,9 @@ from tallywatch.streaming.queries import (
 from tallywatch.streaming.scoring import (
     build_profiles,
     features_with_profiles,
+    profile_batch_writer,
     scoring_batch_writer,
+    with_profiles,
 )
 
 N_FILES = 4
@@ -211,6 +213,25 @@ def test_profiles_replay_the_past(batch):
     assert last.filter(F.abs(F.col("user_avg_amount") - F.col("mean")) > 1e-6).count() == 0
 
 
+def test_stream_profile_joins(spark, stream, batch, tmp_path):
+    profiles = batch.filter("event_id % 4 = 0").groupBy("user_id").agg(
+        F.max("amount").alias("limit_amount")
+    ).filter("user_id < 'user_5'")
+    columns = ["event_id", "user_id", "limit_amount"]
+    expected = rows(batch.join(profiles, "user_id", "left").fillna(-1.0).select(*columns))
+    direct = with_profiles(stream, profiles).writeStream.format("parquet")
+    drain(direct.option("path", str(tmp_path / "direct")), tmp_path / "c1")
+    found = spark.read.parquet(str(tmp_path / "direct"))
+    assert rows(found.fillna(-1.0).select(*columns)) == expected
+    tiny = SkewPolicy(0, 50, 10**6)
+    with pytest.raises(ValueError, match="too many profiles"):
+        with_profiles(stream, profiles, tiny)
+    salted = profile_batch_writer(profiles, snapshot_writer(str(tmp_path / "b")), policy=tiny)
+    drain(stream.writeStream.foreachBatch(salted), tmp_path / "c2")
+    found = spark.read.parquet(str(tmp_path / "b"))
+    assert rows(found.fillna(-1.0).select(*columns)) == expected
+
+
 def test_micro_batch_scoring(spark, stream, batch, tmp_path):
     model = AnomalyModel(n_trees=20).train(prepare_features(apply_rules(batch)))
     profiles = build_profiles(batch.filter("event_id < 0"))
@@ -241,11 +262,9 @@ def test_document_job_from_json_records(spark, batch, tmp_path):
         keyed_records(part).select("value").coalesce(1).write.mode("append").text(source)
     lines = read_stream(spark, "text", schema="value string", path=source,
                         max_files_per_trigger=1)
-    parsed = parse_records(lines.withColumn("timestamp", F.current_timestamp()))
-    queries = start_job(parsed, "documents", str(tmp_path / "c"), str(tmp_path / "docs"),
-                        available_now=True)
-    wait_for_all(spark, queries)
-    assert len(queries) == 2
+    records = lines.withColumn("timestamp", F.current_timestamp())
+    run_stream_job(spark, records, "documents", str(tmp_path / "c"),
+                   document_root=str(tmp_path / "docs"), available_now=True)
     found = spark.read.json(str(tmp_path / "docs" / "flagged"))
     expected = flagged(apply_rules(wire))
     assert found.count() == expected.count()
