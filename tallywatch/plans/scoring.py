@@ -11,16 +11,44 @@ from tallywatch.operators.features import prepare_features
 from tallywatch.operators.history import ROW_ID
 from tallywatch.operators.model import AnomalyModel
 from tallywatch.operators.rules import apply_rules
-from tallywatch.operators.skew import DEFAULT_POLICY, SkewPolicy, join_on
+from tallywatch.operators.skew import (
+    DEFAULT_POLICY,
+    KEY_ROWS,
+    KeyTable,
+    SkewPolicy,
+    attach,
+    join_on,
+)
 from tallywatch.schema import DEFAULT_CONFIG, RiskConfig
 
 
-def join_scores(scored_by_rules: DataFrame, scores: DataFrame, row_id: str = ROW_ID) -> DataFrame:
-    """Left join of separately computed scores on the row id."""
-    return join_on(
-        scored_by_rules,
-        scores.select(row_id, "ml_anomaly_score", "is_ml_anomaly"),
-        [row_id],
+def join_scores(
+    scored_by_rules: DataFrame,
+    scores: DataFrame,
+    on: str = ROW_ID,
+    row_id: str = ROW_ID,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Left join of separately computed scores, by default on the row id.
+
+    ``on`` may be another column, such as the timestamp. Scores that share its value are
+    reduced to the lowest one, so ties never multiply rows.
+    """
+    if on == row_id:
+        columns = [row_id, "ml_anomaly_score", "is_ml_anomaly"]
+        return join_on(scored_by_rules, scores.select(*columns), [row_id])
+    lowest = KeyTable(
+        scores.filter(F.col(on).isNotNull()),
+        [on],
+        {
+            "ml_anomaly_score": F.min("ml_anomaly_score"),
+            "is_ml_anomaly": F.min_by("is_ml_anomaly", "ml_anomaly_score"),
+        },
+        policy,
+    )
+    sizes = KeyTable(scored_by_rules, [on], policy=policy)
+    return attach(
+        scored_by_rules, lowest.table.drop(KEY_ROWS), lowest.n_keys, sizes, row_id
     )
 
 

@@ -22,7 +22,7 @@ def spark():
         "tests",
         **{
             "spark.master": "local[8]",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
         },
     )

@@ -1,6 +1,9 @@
 """Forest, quantile, model life cycle."""
 
+from datetime import datetime
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,7 +26,13 @@ from tallywatch.operators.forest import (
 )
 from tallywatch.operators.model import AnomalyModel
 from tallywatch.operators.rules import apply_rules
-from tallywatch.plans.scoring import hybrid_scoring, train_model, with_enhanced_flag
+from tallywatch.operators.skew import SkewPolicy
+from tallywatch.plans.scoring import (
+    hybrid_scoring,
+    join_scores,
+    train_model,
+    with_enhanced_flag,
+)
 from tallywatch.plans.tables import transactions
 from tallywatch.schema import FEATURES
 
@@ -129,8 +138,6 @@ def test_samples_with_many_rows(spark):
 def test_constant_data_gives_single_leaf():
     nodes = grow_tree(np.ones((10, 3)), np.random.default_rng(1), 4)
     assert nodes == [(0, -1, 0.0, -1, -1, 10, 0)]
-    import pandas as pd
-
     frame = pd.DataFrame(
         [(0, *nodes[0])],
         columns=["tree_id", "node_id", "feature", "threshold", "left", "right", "n_samples",
@@ -203,6 +210,28 @@ def test_hybrid_scoring(rows, model, spark):
     assert [r.is_enhanced_fraud for r in with_enhanced_flag(table).collect()] == [True, None, True]
 
 
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(0, 10, 10**6)])
+def test_score_join_on_a_timestamp_does_not_multiply_ties(spark, policy):
+    day, other = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    rules = spark.createDataFrame(
+        [(i, day if i < 40 else other if i < 42 else None, False) for i in range(45)],
+        "event_id long, transaction_timestamp timestamp_ntz, is_flagged boolean",
+    )
+    scores = rules.filter("event_id < 41 OR event_id = 44").select(
+        "event_id",
+        "transaction_timestamp",
+        (F.col("event_id") / 100 - 0.2).alias("ml_anomaly_score"),
+        (F.col("event_id") < 20).alias("is_ml_anomaly"),
+    )
+    joined = join_scores(rules, scores, on="transaction_timestamp", policy=policy)
+    found = {r.event_id: (r.ml_anomaly_score, r.is_ml_anomaly) for r in joined.collect()}
+    assert joined.count() == 45
+    assert found[0] == found[39] == (-0.2, True)
+    assert found[41] == (0.2, False) and found[44] == (None, None)
+    by_row = {r.event_id: r.ml_anomaly_score for r in join_scores(rules, scores).collect()}
+    assert by_row[1] == pytest.approx(-0.19) and by_row[43] is None and by_row[44] is not None
+
+
 def test_train_model_evaluates_on_held_out_rows(rows):
     model, test = train_model(rows, AnomalyModel(n_trees=20))
     results = model.evaluate(test)
@@ -226,8 +255,6 @@ def test_quality_metrics_by_hand(spark):
     assert report["True"].support == 4 and report["weighted avg"].support == 10
     empty = classification_report(df.limit(0)).collect()
     assert {r.precision for r in empty} == {0.0}
-    from datetime import datetime
-
     decide = retrain_decision(df, datetime(2024, 1, 1), datetime(2024, 1, 3)).first()
     assert decide.age_hours == 48.0 and not decide.should_retrain
 
