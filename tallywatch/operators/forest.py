@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.schema import FEATURES
+from tallywatch.session import spread
 
 N_TREES = 100
 SAMPLE_SIZE = 256
@@ -64,8 +65,7 @@ def draw_samples(
             lambda tree: F.pmod(F.xxhash64(row_id, tree, F.lit(seed)), F.lit(HASH_RANGE)) < limit,
         )
         drawn = rows.withColumn("tree_id", F.explode(chosen))
-    # One small partition per tree, kept for the build: AQE would merge them into one task.
-    drawn = drawn.repartition(n_trees, "tree_id")
+    drawn = spread(drawn, "tree_id", at_most=n_trees)
     order = F.xxhash64(row_id, "tree_id", F.lit(seed + 2))
     place = F.row_number().over(Window.partitionBy("tree_id").orderBy(order, row_id))
     return drawn.withColumn("_place", place).filter(F.col("_place") <= sample_size).drop("_place")
@@ -176,7 +176,9 @@ class Forest:
             for batch in batches:
                 yield pd.Series(score_matrix(batch.to_numpy(dtype=float), arrays, size))
 
-        return isolation_score
+        # Scoring costs more than any filter saves: declared nondeterministic, it is never
+        # copied into a filter and so runs once per row.
+        return isolation_score.asNondeterministic()
 
     def score(self, df: DataFrame) -> DataFrame:
         """Adds ``ml_anomaly_score`` (lower is stranger) and ``is_ml_anomaly``."""

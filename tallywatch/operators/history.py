@@ -19,7 +19,6 @@ from tallywatch.operators.skew import (
     join_on,
     with_key_aggregates,
 )
-from tallywatch.session import materialize
 
 USER = "user_id"
 TIME = "transaction_timestamp"
@@ -81,19 +80,20 @@ def _collapsed_gaps(rows: DataFrame, row_id: str) -> DataFrame:
     """Same gaps as the window, for rows of hot users.
 
     Gaps are whole seconds, so only the first row of each second has a non-zero gap: the
-    distance to the user's previous distinct second. The collapsed seconds are stored,
-    because they feed both the day ends and the join.
+    distance to the user's previous distinct second, which lies on the same day or is the
+    last one of an earlier day.
     """
-    rows = rows.withColumn("_second", epoch_seconds(F.col(TIME)))
     day = F.floor(F.col("_second") / SECONDS_PER_DAY)
-    seconds = rows.groupBy(USER, day.alias("_day"), "_second").agg(
-        F.min(F.struct(TIME, row_id)).alias("_first")
-    )
+    rows = rows.withColumn("_second", epoch_seconds(F.col(TIME)))
     within_day = F.lag("_second", 1).over(Window.partitionBy(USER, "_day").orderBy("_second"))
-    seconds = materialize(seconds.withColumn("_previous", within_day))
+    seconds = (
+        rows.groupBy(USER, day.alias("_day"), "_second")
+        .agg(F.min(F.struct(TIME, row_id)).alias("_first"))
+        .withColumn("_previous", within_day)
+    )
     before_day = F.lag("_last", 1).over(Window.partitionBy(USER).orderBy("_day"))
     days = (
-        seconds.groupBy(USER, "_day")
+        rows.groupBy(USER, day.alias("_day"))
         .agg(F.max("_second").alias("_last"))
         .select(USER, "_day", before_day.alias("_before"))
     )

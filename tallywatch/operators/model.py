@@ -22,12 +22,12 @@ from tallywatch.operators.forest import Forest, fit_nodes, score_matrix
 from tallywatch.operators.history import ROW_ID
 from tallywatch.operators.quantile import exact_quantile
 from tallywatch.schema import DEFAULT_CONFIG, FEATURES, RiskConfig
-from tallywatch.session import materialize
+from tallywatch.session import materialize, spread
 
 logger = logging.getLogger(__name__)
 
 # Rows per hash bucket when columns are shuffled for the importance measure.
-SHUFFLE_BUCKET_ROWS = 10_000
+SHUFFLE_BUCKET_ROWS = 250
 
 
 class AnomalyModel:
@@ -146,7 +146,7 @@ class AnomalyModel:
     def importance(self, feature_table: DataFrame) -> DataFrame:
         """Permutation importance: mean absolute score change per shuffled column.
 
-        Rows are put into hash buckets of about 10,000 rows; inside a bucket every row takes
+        Rows are put into hash buckets of about 250 rows; inside a bucket every row takes
         the column of the next row in a second hash order, the last row that of the first.
         One shuffle serves all columns.
         """
@@ -161,7 +161,8 @@ class AnomalyModel:
             F.xxhash64(self.row_id, F.lit(self.seed + 1)), self.row_id
         )
         whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        paired = rows.withColumn("bucket", bucket).select(
+        # Few bytes but much arithmetic per row, so AQE must not merge the tasks.
+        paired = spread(rows.withColumn("bucket", bucket), "bucket").select(
             "own",
             F.coalesce(F.lead("own", 1).over(order), F.first("own").over(whole)).alias("other"),
         )
@@ -182,16 +183,12 @@ class AnomalyModel:
                 changes[:, i] = np.abs(score_matrix(trial, arrays, size) - unchanged)
             return pd.Series(list(changes))
 
-        names = F.array(*[F.lit(c) for c in self.features])
-        return (
-            paired.select(F.arrays_zip(
-                names.alias("feature"), score_changes("own", "other").alias("change")
-            ).alias("z"))
-            .select(F.inline("z"))
-            .toDF("feature", "change")
-            .groupBy("feature")
-            .agg(F.avg("change").alias("importance"))
-            .orderBy(F.desc("importance"), "feature")
+        changes = paired.select(score_changes.asNondeterministic()("own", "other").alias("c"))
+        means = changes.agg(
+            *[F.avg(F.col("c")[i]).alias(name) for i, name in enumerate(self.features)]
+        )
+        return means.unpivot([], self.features, "feature", "importance").orderBy(
+            F.desc("importance"), "feature"
         )
 
     def _inputs(self, df: DataFrame) -> DataFrame:

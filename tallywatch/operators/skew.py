@@ -34,7 +34,7 @@ class SkewPolicy:
 
     broadcast_keys: int = 200_000
     hot_rows: int = 100_000
-    max_hot_keys: int = 50_000
+    max_hot_keys: int = 200_000
 
 
 DEFAULT_POLICY = SkewPolicy()

@@ -189,7 +189,8 @@ SELECT user_id, amount, {WIRE_TIME} AS timestamp, type, latitude, longitude
 FROM tx WHERE event_id % 50 <> 0"""),
         "keyed_json_records": _with(TX, f"SELECT user_id AS key, {wire_value} AS value FROM tx"),
         "slim_projection": _with(TX, """
-SELECT event_id, user_id, CAST(amount AS float) AS amount, transaction_timestamp, type FROM tx"""),
+SELECT event_id, user_id, CAST(amount AS float) AS amount, transaction_timestamp, type
+FROM tx"""),
         "geo_mask": f"""
 SELECT event_id, {_masked('lat', '-1.286389')} AS latitude,
        {_masked('long', '36.817223')} AS longitude FROM events""",
@@ -343,7 +344,8 @@ SELECT event_id, amount, hour_of_day, day_of_week, day_of_month,
         ),
         "fraud_hotspots": _with(RULED, """
 SELECT event_id, user_id, amount, distance_from_nairobi FROM ruled
-WHERE is_flagged AND is_location_outlier ORDER BY distance_from_nairobi DESC, event_id LIMIT 100"""),
+WHERE is_flagged AND is_location_outlier
+ORDER BY distance_from_nairobi DESC, event_id LIMIT 100"""),
         "alert_list": _with(RULED, """
 SELECT event_id, user_id, amount, is_high_amount, is_location_outlier FROM ruled
 WHERE is_flagged ORDER BY event_id LIMIT 1000"""),

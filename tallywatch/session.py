@@ -68,3 +68,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to reliable storage and read it from there afterwards."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
+    """Shuffle on ``key`` into a given number of tasks, which AQE leaves alone.
+
+    For rows that are few or narrow but costly to work on.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(min(tasks, at_most or tasks), key)

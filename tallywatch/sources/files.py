@@ -46,7 +46,7 @@ def read_jsonl_with_quarantine(
     return good, lines.filter(~fits).select(F.col("value").alias("raw_record"))
 
 
-def read_reference_table(spark: SparkSession, path: str, cache: bool = True) -> DataFrame:
+def read_lookup_table(spark: SparkSession, path: str, cache: bool = True) -> DataFrame:
     """Slowly changing parquet table such as user profiles or rules."""
     table = spark.read.parquet(path)
     return table.cache() if cache else table

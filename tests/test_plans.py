@@ -59,6 +59,13 @@ def test_top_k_is_not_a_full_sort(spark, data, name):
     assert "TakeOrderedAndProject" in executed(catalog.QUERIES[name](spark, data))
 
 
+def test_each_row_is_scored_once(spark, data):
+    scored = catalog.hybrid_scores(spark, data)
+    assert executed(scored.filter("is_enhanced_fraud")).count("ArrowEvalPython") == 1
+    importance = executed(catalog.feature_importance(spark, data))
+    assert importance.count("ArrowEvalPython") == 1
+
+
 def test_scaling_reuses_the_feature_shuffle(spark, data):
     plan = executed(catalog.scaled_features(spark, data))
     assert "ReusedSubquery" in plan

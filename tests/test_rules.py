@@ -15,7 +15,7 @@ from tallywatch.schema import CORRUPT
 from tallywatch.sources.files import (
     read_jsonl,
     read_jsonl_with_quarantine,
-    read_reference_table,
+    read_lookup_table,
     records_to_table,
 )
 from tallywatch.sources.parse import flatten_location, parse_records, with_event_time
@@ -189,10 +189,10 @@ def test_jsonl_source(spark, tmp_path):
         read_jsonl(spark, str(tmp_path / "missing.jsonl")).count()
 
 
-def test_reference_table_and_search(spark, tmp_path):
+def test_lookup_table_and_search(spark, tmp_path):
     path = str(tmp_path / "profiles")
     spark.createDataFrame([("u1", 1), ("u2", 2)], "user_id string, tier int").write.parquet(path)
-    table = read_reference_table(spark, path)
+    table = read_lookup_table(spark, path)
     assert table.is_cached
     assert search(table, user_id="u2").first().tier == 2
     assert search(table, user_id="u2", tier=1).count() == 0
