@@ -121,8 +121,8 @@ def geo_mask(spark, folder):
     )
     return rows.select(
         "event_id",
-        F.round("location.lat", 9).alias("latitude"),
-        F.round("location.long", 9).alias("longitude"),
+        F.col("location.lat").alias("latitude"),
+        F.col("location.long").alias("longitude"),
     )
 
 

@@ -163,7 +163,7 @@ def _with(ctes: str, select: str) -> str:
 def _masked(axis: str, center: str) -> str:
     text = f"concat('42:{axis}', CAST(event_id AS varchar))"
     u = HASH.format(text=text) + " / 4294967296.0::double"
-    return f"round({center}::double + (2 * ({u}) - 1) * 0.1::double, 9)"
+    return f"{center}::double + (2 * ({u}) - 1) * 0.1::double"
 
 
 def _scaled(name: str) -> str:
