@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallywatch.llm.bpe import op3_bpe
 from tallywatch.llm.quality import op8_quality
 from tallywatch.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_bpe": op3_bpe,
     "op8_quality": op8_quality,
 }
 
