@@ -18,6 +18,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -26,11 +27,13 @@ from pyspark.sql.types import StructType
 from tallywatch.llm.common import map_batches, replace_columns, table, text_or_empty
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
-KNOWN_UNITS = 1_000_000
+KNOWN_UNITS = 900_000
 """Units a Python worker remembers before it forgets them; only speed depends on it."""
 CHUNK = 24_000_000
 """Characters whose words are encoded together."""
 LONG_WORD = 48
+QUERY_WORDS = 50_000
+"""Words of one recursive query, which keeps the rows of all its steps."""
 
 ENCODE = """
 WITH RECURSIVE step(place, token, done) AS (
@@ -54,12 +57,12 @@ WITH RECURSIVE step(place, token, done) AS (
    WHERE gone IS DISTINCT FROM place)
 )
 SELECT (place >> 32)::INTEGER AS word, list(token ORDER BY place) AS ids
-FROM step WHERE done GROUP BY 1
+FROM step WHERE done GROUP BY 1 ORDER BY 1
 """
 
 DECODE = """
 SELECT (place >> 32)::INTEGER AS word, string_agg(hex, '' ORDER BY place) AS hex
-FROM coded JOIN vocabulary USING (token) GROUP BY 1
+FROM coded JOIN vocabulary USING (token) GROUP BY 1 ORDER BY 1
 """
 
 
@@ -78,14 +81,13 @@ def token_splits(ranks: dict[bytes, int]) -> Iterator[tuple[int, int, int]]:
                 yield left, right, rank
 
 
-def token_rows(sizes: list[int], tokens: np.ndarray) -> pa.Table:
+def token_rows(sizes: np.ndarray, tokens: np.ndarray) -> pa.Table:
     """One row per token; ``place`` holds the word's number above the position in it."""
-    lengths = np.array(sizes, np.int64)
-    begin = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    word = np.repeat(np.arange(len(lengths)), lengths)
+    begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    word = np.repeat(np.arange(len(sizes)), sizes)
     return pa.table({
         "place": pa.array((word << 32) + np.arange(len(tokens)) - begin),
-        "token": pa.array(tokens),
+        "token": pa.array(tokens.astype(np.int32)),
     })
 
 
@@ -130,111 +132,128 @@ class Codec:
         cuts = [0, *(np.flatnonzero(~self.joins[codes[:-1], codes[1:]]) + 1).tolist(), len(raw)]
         return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def contract(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of every word, by the recursive query."""
-        if not words:
-            return []
-        rows = token_rows(
-            [len(w) for w in words], self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-        )
-        found = self._query(ENCODE, "start", rows)
-        lists = found.column("ids").combine_chunks()
-        flat, ends = lists.values.to_pylist(), lists.offsets.to_pylist()
-        out: list[list[int]] = [[]] * len(words)
-        for word, begin, end in zip(found.column("word").to_pylist(), ends, ends[1:]):
-            out[word] = flat[begin:end]
-        return out
-
-    def decode(self, coded: list[list[int]]) -> list[bytes]:
+    def contract(self, words: list[bytes]) -> pa.Array:
+        """Token ids of every (not empty) word as a list array, by the recursive query."""
+        parts = [pa.array([], pa.list_(pa.int32()))]
+        for begin in range(0, len(words), QUERY_WORDS):
+            some = words[begin:begin + QUERY_WORDS]
+            sizes = np.fromiter(map(len, some), np.int64, len(some))
+            tokens = self.byte_ids[np.frombuffer(b"".join(some), np.uint8)]
+            found = self._query(ENCODE, "start", token_rows(sizes, tokens))
+            parts.append(found.column("ids").combine_chunks())
+        return pa.concat_arrays(parts)
+
+    def decode(self, coded: pa.Array) -> list[bytes]:
         """Bytes of every id list."""
-        rows = token_rows(
-            [len(ids) for ids in coded], np.array([i for ids in coded for i in ids], np.int32)
-        )
-        found = self._query(DECODE, "coded", rows)
+        sizes = coded.value_lengths().to_numpy(zero_copy_only=False)
+        tokens = coded.flatten().to_numpy(zero_copy_only=False)
+        found = self._query(DECODE, "coded", token_rows(sizes, tokens))
         out = [b""] * len(coded)
         for word, text in zip(found.column("word").to_pylist(), found.column("hex").to_pylist()):
             out[word] = bytes.fromhex(text)
         return out
 
-    def code(self, words: list[str]) -> list[tuple[list[int], bytes]]:
-        """Ids of every word, and their decoded bytes. A word that is a token stays whole."""
-        raw = [w.encode() for w in words]
-        pieces = [[w] if w in self.ranks else self.parts(w) for w in raw]
-        open_ = list(dict.fromkeys(p for ps in pieces for p in ps if p not in self.ranks))
-        coded = dict(zip(open_, self.contract(open_)))
-        ids = [
-            [i for p in ps for i in ([self.ranks[p]] if p in self.ranks else coded[p])]
-            for ps in pieces
-        ]
-        return list(zip(ids, self.decode(ids)))
+    def code(self, words: list[bytes]) -> pa.Array:
+        """Ids of every word. One that is a token stays whole; the parts of a long one are
+        contracted by themselves."""
+        pieces = [[w] if w in self.ranks else self.parts(w) for w in words]
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        flat = [p for ps in pieces for p in ps]
+        known = np.array([self.ranks.get(p, -1) for p in flat], np.int64)
+        rest = np.flatnonzero(known < 0)
+        spread = self.contract([flat[i] for i in rest])
+        lengths = np.ones(len(flat), np.int64)
+        lengths[rest] = spread.value_lengths().to_numpy(zero_copy_only=False)
+        ids = np.empty(int(lengths.sum()), np.int32)
+        of_rest = np.repeat(known < 0, lengths)
+        ids[of_rest] = spread.flatten().to_numpy(zero_copy_only=False)
+        ids[~of_rest] = known[known >= 0]
+        by_piece = np.concatenate([[0], np.cumsum(lengths)])
+        ends = by_piece[np.concatenate([[0], np.cumsum(sizes)])]
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
 
 
 UNSAFE = re.compile(r"\s\s|^\s|\s$")
 """Texts in which white space meets white space, or an end, are split as a whole."""
 
-def units_of(text: str) -> list[str]:
-    """The text cut before single spaces between other characters. The split pattern never
-    joins across such a place, so equal units always give equal words."""
-    if not text:
-        return []
+def units_of(text: str) -> tuple[str, list[str]]:
+    """The text cut at single spaces between other characters: the first unit, and the
+    others without the space before them. The split pattern never joins across such a
+    place, so equal units always give equal words."""
     if UNSAFE.search(text):
-        return [text]
+        return text, []
     first, *rest = text.split(" ")
-    return [first, *[" " + unit for unit in rest]]
+    return first, rest
 
 
-class UnitCache(dict):
-    """What a unit becomes, remembered within bounds. ``build`` makes the part of one word
-    from its ids and bytes, ``merge`` joins the parts of a unit or a text."""
+class UnitCache:
+    """What units become, remembered within bounds: ids as lists, or as decimal text."""
 
-    def __init__(self, codec: Codec, build: Callable, merge: Callable):
-        super().__init__()
-        self.codec, self.build, self.merge = codec, build, merge
+    def __init__(self, codec: Codec, as_text: bool):
+        self.codec, self.as_text = codec, as_text
         self.words: dict[str, object] = {}
-
-    def fill(self, units: set[str]) -> None:
-        if len(self) > KNOWN_UNITS:
-            self.clear()
-            self.words.clear()
+        self.units: dict[str, object] = {}
+        self.firsts: dict[str, object] = {}
+        #: words whose decoded bytes are not their own; others need not be kept twice
+        self.odd: dict[str, bytes] = {}
+
+    def split(self, unit: str) -> list[str]:
+        return [unit] if unit.isalpha() else self.codec.pattern.findall(unit)
+
+    def merge(self, parts: list):
+        if self.as_text:
+            return ",".join(parts)
+        return [i for ids in parts for i in ids]
+
+    def learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.words]
+        raw = [w.encode() for w in new]
+        coded = self.codec.code(raw)
+        decoded = self.codec.decode(coded)
+        self.odd.update((w, d) for w, r, d in zip(new, raw, decoded) if r != d)
+        if self.as_text:
+            coded = pc.binary_join(coded.cast(pa.list_(pa.string())), ",")
+        self.words.update(zip(new, coded.to_pylist()))
+
+    def fill(self, texts: list[tuple[str, list[str]]]) -> None:
+        if len(self.units) + len(self.firsts) > KNOWN_UNITS:
+            for memory in (self.words, self.units, self.firsts, self.odd):
+                memory.clear()
+        rest = set().union(*[rest for _, rest in texts]).difference(self.units)
+        # a letter run after a space is one word of the split pattern
+        split = {u: [" " + u] if u.isalpha() else self.codec.pattern.findall(" " + u)
+                 for u in rest}
+        first = {u: self.split(u) for u, _ in texts if u not in self.firsts}
+        self.learn({w for found in (split, first) for ws in found.values() for w in ws})
         words = self.words
-        new = [u for u in units if u not in self]
-        split = [self.codec.pattern.findall(u) for u in new]
-        unseen = [w for w in {w for ws in split for w in ws} if w not in words]
-        for word, coded in zip(unseen, self.codec.code(unseen)):
-            words[word] = self.build(*coded)
-        for unit, ws in zip(new, split):
-            self[unit] = words[ws[0]] if len(ws) == 1 else self.merge([words[w] for w in ws])
-
+        for memory, found in ((self.units, split), (self.firsts, first)):
+            for unit, ws in found.items():
+                memory[unit] = (
+                    words[ws[0]] if len(ws) == 1 else self.merge([words[w] for w in ws]))
 
-def ids_part(ids: list[int], raw: bytes) -> list[int]:
-    return ids
+    def coded(self, text: tuple[str, list[str]]):
+        first, rest = text
+        if not first and not rest:
+            return self.merge([])
+        return self.merge([self.firsts[first], *map(self.units.__getitem__, rest)])
 
+    def decoded(self, text: str) -> bytes:
+        """Bytes that the text's ids decode to."""
+        if not self.odd:
+            return text.encode()
+        words = self.codec.pattern.findall(text)
+        return b"".join(self.odd[w] if w in self.odd else w.encode() for w in words)
 
-def ids_merge(parts: list[list[int]]) -> list[int]:
-    return [i for ids in parts for i in ids]
 
-
-def digest_part(ids: list[int], raw: bytes) -> tuple[str, int, bytes]:
-    return ",".join(map(str, ids)), len(ids), raw
-
-
-def digest_merge(parts: list[tuple[str, int, bytes]]) -> tuple[str, int, bytes]:
-    return (
-        ",".join([text for text, _, _ in parts]), sum([n for _, n, _ in parts]),
-        b"".join([raw for _, _, raw in parts]),
-    )
-
-
-MODES = {"ids": (ids_part, ids_merge), "digest": (digest_part, digest_merge)}
 _caches: dict[tuple, UnitCache] = {}
 
 
-def worker_cache(ranks: dict[bytes, int], pattern: str, mode: str) -> UnitCache:
+def worker_cache(ranks: dict[bytes, int], pattern: str, as_text: bool) -> UnitCache:
     """The worker's own memory for this vocabulary, kept from task to task."""
-    key = (hash(frozenset(ranks.items())), pattern, mode)
+    key = (hash(frozenset(ranks.items())), pattern, as_text)
     if key not in _caches:
         _caches.clear()
-        _caches[key] = UnitCache(Codec(ranks, pattern), *MODES[mode])
+        _caches[key] = UnitCache(Codec(ranks, pattern), as_text)
     return _caches[key]
 
 
@@ -251,26 +270,26 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def _encoded(docs: DataFrame, path: str, pattern: str, mode: str, finish: Callable,
+def _encoded(docs: DataFrame, path: str, pattern: str, as_text: bool, finish: Callable,
              added: str) -> DataFrame:
-    """Columns of ``docs`` but ``text``, then what ``finish`` makes of a text's merged parts."""
+    """Columns of ``docs`` but ``text``, then what ``finish`` makes of a text and its ids."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))  # one vocabulary
     others = [c for c in docs.columns if c != "text"]
     extra = StructType.fromDDL(added)
     schema = StructType([docs.schema[c] for c in others] + extra.fields)
 
     def make():
-        known = worker_cache(ranks.value, pattern, mode)
+        known = worker_cache(ranks.value, pattern, as_text)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
             for part in chunks([t or "" for t in batch.column("text").to_pylist()]):
                 split = [units_of(text) for text in part]
-                known.fill(set().union(*split))
-                rows += [finish(known.merge([known[u] for u in units])) for units in split]
-            types = to_arrow_schema(extra)
+                known.fill(split)
+                rows += [finish(known, t, known.coded(units)) for t, units in zip(part, split)]
             return replace_columns(batch, ["text"], **{
-                f.name: pa.array(c, f.type) for f, c in zip(types, zip(*rows))
+                f.name: pa.array(c, f.type)
+                for f, c in zip(to_arrow_schema(extra), zip(*rows))
             })
 
         return step
@@ -281,7 +300,8 @@ def _encoded(docs: DataFrame, path: str, pattern: str, mode: str, finish: Callab
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Columns of ``docs`` but ``text``, then ``ids``: the token ids of the whole text, in
     order, without special tokens. Null and empty texts have none."""
-    return _encoded(docs, path, pattern, "ids", lambda ids: (ids,), "ids array<int>")
+    return _encoded(
+        docs, path, pattern, False, lambda known, text, ids: (ids,), "ids array<int>")
 
 
 def decode_documents(coded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -295,7 +315,7 @@ def decode_documents(coded: DataFrame, path: str, pattern: str) -> DataFrame:
         codec = Codec(ranks.value, pattern)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [i or [] for i in batch.column("ids").to_pylist()]
+            ids = pc.coalesce(batch.column("ids"), pa.scalar([], pa.list_(pa.int32())))
             return replace_columns(batch, ["ids"], raw=pa.array(codec.decode(ids), pa.binary()))
 
         return step
@@ -307,11 +327,13 @@ def digest_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Columns of ``docs`` but ``text``, then ``n_tokens`` and the SHA-256 of the ids
     (decimal, joined by commas) and of the bytes that they decode to."""
 
-    def finish(whole: tuple[str, int, bytes]) -> tuple[int, str, str]:
-        ids, n, raw = whole
-        return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()
+    def finish(known: UnitCache, text: str, ids: str) -> tuple[int, str, str]:
+        return (
+            ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
+            hashlib.sha256(known.decoded(text)).hexdigest(),
+        )
 
-    return _encoded(docs, path, pattern, "digest", finish,
+    return _encoded(docs, path, pattern, True, finish,
                     "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
