@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywatch.llm.bpe import op3_bpe
+from tallywatch.llm.neardup import op5_neardup
 from tallywatch.llm.quality import op8_quality
 from tallywatch.llm.secret_scan import op2_secrets
 from tallywatch.llm.toxicity import op1_toxicity
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
     "op3_bpe": op3_bpe,
+    "op5_neardup": op5_neardup,
     "op8_quality": op8_quality,
 }
 
