@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywatch.llm.bpe import op3_bpe
+from tallywatch.llm.html_text import op6_html
 from tallywatch.llm.neardup import op5_neardup
 from tallywatch.llm.quality import op8_quality
 from tallywatch.llm.secret_scan import op2_secrets
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_bpe": op3_bpe,
     "op5_neardup": op5_neardup,
+    "op6_html": op6_html,
     "op8_quality": op8_quality,
 }
 
