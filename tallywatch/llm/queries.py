@@ -10,6 +10,7 @@ from tallywatch.llm.bpe import op3_bpe
 from tallywatch.llm.html_text import op6_html
 from tallywatch.llm.neardup import op5_neardup
 from tallywatch.llm.quality import op8_quality
+from tallywatch.llm.repeats import op9_repeats
 from tallywatch.llm.secret_scan import op2_secrets
 from tallywatch.llm.toxicity import op1_toxicity
 
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_neardup": op5_neardup,
     "op6_html": op6_html,
     "op8_quality": op8_quality,
+    "op9_repeats": op9_repeats,
 }
 
 ORACLES: dict[str, str] = {}
