@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallywatch.llm.bpe import op3_bpe
 from tallywatch.llm.html_text import op6_html
 from tallywatch.llm.neardup import op5_neardup
+from tallywatch.llm.packing import op7_packing
 from tallywatch.llm.quality import op8_quality
 from tallywatch.llm.repeats import op9_repeats
 from tallywatch.llm.secret_scan import op2_secrets
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op5_neardup": op5_neardup,
     "op6_html": op6_html,
+    "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_repeats": op9_repeats,
 }
