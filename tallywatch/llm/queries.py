@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallywatch.llm.bpe import op3_bpe
 from tallywatch.llm.html_text import op6_html
+from tallywatch.llm.lm import op4_lm
 from tallywatch.llm.neardup import op5_neardup
 from tallywatch.llm.packing import op7_packing
 from tallywatch.llm.quality import op8_quality
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
     "op3_bpe": op3_bpe,
+    "op4_lm": op4_lm,
     "op5_neardup": op5_neardup,
     "op6_html": op6_html,
     "op7_packing": op7_packing,
