@@ -14,6 +14,8 @@ from tallywatch.llm.packing import op7_packing
 from tallywatch.llm.quality import op8_quality
 from tallywatch.llm.repeats import op9_repeats
 from tallywatch.llm.secret_scan import op2_secrets
+from tallywatch.llm.topk import ORACLE as TOPK_SQL
+from tallywatch.llm.topk import op10_topk
 from tallywatch.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -26,6 +28,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_repeats": op9_repeats,
+    "op10_topk": op10_topk,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_topk": TOPK_SQL,
+}
