@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tallywatch.llm.common import map_batches, replace_columns, table, text_or_empty
+from tallywatch.llm.common import map_batches, other_columns, replace_columns, table, text_or_empty
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 KNOWN_UNITS = 900_000
@@ -272,10 +272,11 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
 
 def _encoded(docs: DataFrame, path: str, pattern: str, as_text: bool, finish: Callable,
              added: str) -> DataFrame:
-    """Columns of ``docs`` but ``text``, then what ``finish`` makes of a text and its ids."""
+    """Columns of ``docs`` but ``text``, then what ``finish`` makes of a text and its ids.
+    Columns with the name of an added one are replaced."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))  # one vocabulary
-    others = [c for c in docs.columns if c != "text"]
     extra = StructType.fromDDL(added)
+    others = other_columns(docs, extra.names)
     schema = StructType([docs.schema[c] for c in others] + extra.fields)
 
     def make():
@@ -307,7 +308,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def decode_documents(coded: DataFrame, path: str, pattern: str) -> DataFrame:
     """Columns of ``coded`` but ``ids``, then ``raw``: the bytes of the ids. Null: empty."""
     ranks = coded.sparkSession.sparkContext.broadcast(read_ranks(path))
-    others = [c for c in coded.columns if c != "ids"]
+    others = other_columns(coded, ["ids", "raw"])
     schema = StructType(
         [coded.schema[c] for c in others] + StructType.fromDDL("raw binary").fields)
 

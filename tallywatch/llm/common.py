@@ -31,6 +31,11 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).alias(column)
 
 
+def other_columns(df: DataFrame, added: Iterable[str]) -> list[str]:
+    """Columns that stay beside added ones: neither the text nor one of the same name."""
+    return [c for c in df.columns if c not in {"text", *added}]
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it from there; later reads prune columns
     and need no lineage."""
@@ -53,11 +58,6 @@ def map_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> Dat
     return df.mapInArrow(run, schema)
 
 
-def fill_partitions(df: DataFrame) -> DataFrame:
-    """At least as many partitions as the cluster has cores, for costly work on few rows."""
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1))
-
-
 def replace_columns(batch: pa.RecordBatch, drop: Iterable[str], **columns) -> pa.RecordBatch:
     """The batch without the columns ``drop`` and with new ones at its end."""
     out = {n: batch.column(n) for n in batch.schema.names if n not in set(drop)}

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallywatch.llm.common import (
-    KNOWN_WORDS, fold, hashed_sample, map_batches, replace_columns, table, text_or_empty,
+    KNOWN_WORDS, fold, hashed_sample, map_batches, other_columns, replace_columns, table,
+    text_or_empty,
 )
 
 FEATURES = 1 << 18
@@ -212,12 +213,13 @@ def fit_toxicity(
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """Columns of ``docs`` but ``text``, then ``score``, ``predicted`` and ``sentences``: the
     (start, end, score) of every sentence that is toxic by itself (0.5 or more), in code
-    points. A null or empty text scores 0."""
+    points. Columns with the name of an added one are replaced. A null or empty text scores 0."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES numbers
-    others = [c for c in docs.columns if c != "text"]
-    added = ("score double, predicted int, n_sentences long, "
-             "sentences array<struct<start: int, end: int, score: double>>")
-    schema = StructType([docs.schema[c] for c in others] + StructType.fromDDL(added).fields)
+    added = StructType.fromDDL(
+        "score double, predicted int, n_sentences long, "
+        "sentences array<struct<start: int, end: int, score: double>>")
+    others = other_columns(docs, added.names)
+    schema = StructType([docs.schema[c] for c in others] + added.fields)
     found = pa.list_(pa.struct(
         [("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
