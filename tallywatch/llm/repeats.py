@@ -29,8 +29,10 @@ LENGTH = 400
 GRAM = 64
 BLOCK_BYTES = 400_000
 """Context bytes of one suffix array; a mark is never cut, so one mark may exceed it."""
-HOT_CONTEXTS = 1_000
-"""Different contexts of a mark beyond which strings are compared one by one."""
+HOT_BYTES = 6_000_000
+"""Bytes of a mark's different contexts beyond which strings are compared one by one."""
+SORT_AT_ONCE = 50_000
+"""Suffixes beyond which equal sort keys share their memory."""
 SEPARATOR = b"\xff"
 """Occurs in no UTF-8 text."""
 
@@ -107,6 +109,25 @@ def smaller_than_next(codes: np.ndarray) -> np.ndarray:
     return np.append(np.append(step, 1)[following] > 0, True)
 
 
+def directly_sorted(text: bytes, codes: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes in the order of their first ``depth`` bytes. Those that agree in the first two
+    bytes are sorted at a time, so the keys of only these are held."""
+    pair = codes[at].astype(np.int32) * 256 + codes[np.minimum(at + 1, len(codes) - 1)]
+    ranked = at[np.argsort(pair, kind="stable")]
+    cuts = np.flatnonzero(np.diff(np.sort(pair))) + 1
+    out = []
+    for part in np.split(ranked, cuts):
+        places = part.tolist()
+        if len(places) > SORT_AT_ONCE:
+            shared: dict[bytes, bytes] = {}
+            keys = {i: shared.setdefault(text[i:i + depth], text[i:i + depth]) for i in places}
+        else:
+            keys = {i: text[i:i + depth] for i in places}
+        places.sort(key=keys.__getitem__)
+        out += places
+    return np.array(out, np.int64)
+
+
 def two_stage_order(text: bytes, codes: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
     """The wanted suffixes in the order of their first ``depth`` bytes.
 
@@ -125,11 +146,7 @@ def two_stage_order(text: bytes, codes: np.ndarray, wanted: np.ndarray, depth: i
             if small[at]:
                 break
             at += 1
-    direct = np.flatnonzero(used & small).tolist()
-    keys = [text[i:i + depth] for i in direct]
-    order = sorted(range(len(direct)), key=keys.__getitem__)
-    del keys
-    direct = np.array(direct, np.int64)[order]
+    direct = directly_sorted(text, codes, np.flatnonzero(used & small), depth)
     first = codes[direct]
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
     out = []
@@ -337,10 +354,9 @@ def compare_strings(contexts: DataFrame, length: int) -> DataFrame:
         "mark long, context_key binary, start int, string binary, n long")
     often = strings.groupBy("string").agg(F.sum("n").alias("n")).filter("n > 1").select("string")
     hits = strings.select("mark", "context_key", "start", "string").join(often, "string")
-    # one row per repeated string; neighbours are merged with the other intervals later
-    one = F.array(F.col("start"))
-    return hits.select(
-        "mark", "context_key", one.alias("starts"), F.transform(one, lambda s: s + 1).alias("ends"))
+    starts = F.sort_array(F.collect_set("start"))
+    return hits.groupBy("mark", "context_key").agg(starts.alias("starts")).withColumn(
+        "ends", F.transform("starts", lambda s: s + 1))
 
 
 def removals(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
@@ -375,19 +391,21 @@ def removals(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
     different = stored(
         contexts.groupBy("mark", "context_key").agg(
             F.first("context").alias("context"), F.count("*").alias("n")), "different")
-    hot = different.groupBy("mark").agg(F.count("*").alias("m")).filter(
-        F.col("m") > HOT_CONTEXTS).select("mark")
+    hot = different.groupBy("mark").agg(F.sum(F.octet_length("context")).alias("m")).filter(
+        F.col("m") > HOT_BYTES).select("mark")
     flagged = stored(
         compare_contexts(different.join(hot, "mark", "left_anti"), length).unionByName(
             compare_strings(different.join(hot, "mark"), length)),
         "flagged")
     member = contexts.select("mark", "context_key", "text_key", "begin")
     spans = (
-        flagged.select("mark", "context_key", F.explode(F.arrays_zip("starts", "ends")).alias("s"))
-        .join(member, ["mark", "context_key"])
-        .groupBy("text_key").agg(F.collect_list(F.struct(
-            (F.col("begin") + F.col("s.starts")).alias("begin"),
-            (F.col("begin") + F.col("s.ends") + F.lit(length - 1)).alias("end"))).alias("spans")))
+        flagged.join(member, ["mark", "context_key"]).groupBy("text_key")
+        .agg(F.collect_list(F.struct("begin", "starts", "ends")).alias("runs")))
+    # a run of starts covers ``length`` - 1 more bytes
+    spans = spans.select("text_key", F.flatten(F.transform("runs", lambda r: F.zip_with(
+        r["starts"], r["ends"], lambda x, y: F.struct(
+            (r["begin"] + x).alias("begin"), (r["begin"] + y + F.lit(length - 1)).alias("end")))
+    )).alias("spans"))
     whole = F.array(F.struct(F.lit(0).alias("begin"), F.octet_length("text").alias("end")))
     removed = (
         chosen.select("text_key", "text", "twice").join(spans, "text_key", "left")

@@ -162,7 +162,7 @@ def test_probabilities_sum_to_one():
     model = lm.new_model(vocabulary)
     draw = np.random.default_rng(0)
     stream = np.concatenate([[model.before] * 18, draw.integers(0, 151, 400)])
-    lm.train(model, stream, 1)
+    lm.train(model, stream)
     begin = list(stream[:60])
     total = sum(
         10 ** lm.log_probabilities(model, np.array(begin + [w]))[-1] for w in range(151))
@@ -174,8 +174,8 @@ def test_training_raises_the_likelihood():
     model = lm.new_model(vocabulary)
     stream = np.array([model.before] * 18 + [0, 1, 2] * 8000)
     before = lm.log_probabilities(model, stream).sum()
-    for turn in range(6):
-        lm.train(model, stream, turn)
+    for _ in range(6):
+        lm.train(model, stream)
     assert lm.log_probabilities(model, stream).sum() > before * 0.6
 
 
@@ -341,13 +341,10 @@ def test_without_labels_only_base_rules_reject(spark, odd):
     st.lists(st.sampled_from(b"ab\x00\xfe"), min_size=5, max_size=30).map(bytes),
     min_size=1, max_size=6))
 def test_repeated_starts_of_contexts(contexts):
-    length = 5
-    found = repeats.repeated_starts([c * 2 for c in contexts], 8) if False else \
-        repeats.repeated_starts([c + b"padding"[:3] for c in contexts], 8)
-    whole = [c + b"padding"[:3] for c in contexts]
+    whole = [c + b"pad" for c in contexts]
     strings = [[c[i:i + 8] for i in range(len(c) - 7)] for c in whole]
     flat = [s for own in strings for s in own]
-    assert length and [f.tolist() for f in found] == [
+    assert [f.tolist() for f in repeats.repeated_starts(whole, 8)] == [
         [flat.count(s) > 1 for s in own] for own in strings]
 
 
@@ -372,11 +369,12 @@ def repetitive_rows():
     return rows + [(105, rows[5][1]), (106, rows[5][1])]
 
 
-@pytest.mark.parametrize("hot", [1_000, 1])
+@pytest.mark.parametrize("hot", [1_000_000, 1])
 def test_removal_equals_brute_force(spark, monkeypatch, hot):
     from test_queries import removed_bytes
 
-    monkeypatch.setattr(repeats, "HOT_CONTEXTS", hot)
+    monkeypatch.setattr(repeats, "HOT_BYTES", hot)
+    monkeypatch.setattr(repeats, "SORT_AT_ONCE", 5)
     monkeypatch.setattr(repeats, "BLOCK_BYTES", 2_000)
     rows = repetitive_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
