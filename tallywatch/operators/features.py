@@ -17,6 +17,7 @@ from tallywatch.operators.history import (
 )
 from tallywatch.operators.skew import DEFAULT_POLICY, SkewPolicy
 from tallywatch.schema import FEATURES
+from tallywatch.session import materialize
 
 
 def with_calendar(df: DataFrame) -> DataFrame:
@@ -65,8 +66,10 @@ def add_feature_columns(history: DataFrame) -> DataFrame:
 def scale_features(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Zero mean and unit population deviation; a constant column becomes 0.
 
-    Means and deviations are one scalar subquery over ``df``.
+    ``df`` is stored once, then read for the moments and for the rows, so that whatever made it
+    does not run twice. Means and deviations are one scalar subquery.
     """
+    df = materialize(df)
     moments = df.agg(F.struct(
         *[F.avg(name).alias(f"mean_{name}") for name in features],
         *[F.stddev_pop(name).alias(f"std_{name}") for name in features],

@@ -49,22 +49,27 @@ def draw_samples(
 ) -> DataFrame:
     """``tree_id`` and the sampled rows: ``min(sample_size, n_rows)`` per tree.
 
-    The draw depends on row id and seed only. With many rows each row is a candidate for at
-    most one tree (one hash per row); with few rows it is tried for every tree.
+    The draw depends on row id and seed only. A row is a candidate of every tree with the
+    same probability, independently of the others, whatever the table size. One hash decides
+    which tree is the row's first, if any: that index has a geometric distribution. The
+    trees after it have a hash each, so only rows with a first tree cost more than one.
     """
     wanted = OVERSAMPLE * sample_size / max(n_rows, 1)
-    if wanted * n_trees < 1.0:
-        u = F.pmod(F.xxhash64(row_id, F.lit(seed)), F.lit(HASH_RANGE))
-        drawn = rows.filter(u < int(HASH_RANGE * wanted * n_trees)).withColumn(
-            "tree_id", F.pmod(F.xxhash64(row_id, F.lit(seed + 1)), F.lit(n_trees)).cast("int")
-        )
+    limit = int(HASH_RANGE * min(1.0, wanted))
+    if limit == HASH_RANGE:
+        first = F.lit(0)
     else:
-        limit = int(HASH_RANGE * min(1.0, wanted))
-        chosen = F.filter(
-            F.sequence(F.lit(0), F.lit(n_trees - 1)),
-            lambda tree: F.pmod(F.xxhash64(row_id, tree, F.lit(seed)), F.lit(HASH_RANGE)) < limit,
-        )
-        drawn = rows.withColumn("tree_id", F.explode(chosen))
+        u = (F.pmod(F.xxhash64(row_id, F.lit(seed)), F.lit(HASH_RANGE)) + 1) / F.lit(HASH_RANGE)
+        first = F.floor(F.log(u) / F.lit(math.log1p(-limit / HASH_RANGE)))
+    others = F.filter(
+        F.sequence(F.lit(0), F.lit(n_trees - 1)),
+        lambda tree: (tree == F.col("_first")) | ((tree > F.col("_first")) & (
+            F.pmod(F.xxhash64(row_id, tree, F.lit(seed)), F.lit(HASH_RANGE)) < limit)),
+    )
+    drawn = (
+        rows.withColumn("_first", first).filter(F.col("_first") < n_trees)
+        .withColumn("tree_id", F.explode(others)).drop("_first")
+    )
     drawn = spread(drawn, "tree_id", at_most=n_trees)
     order = F.xxhash64(row_id, "tree_id", F.lit(seed + 2))
     place = F.row_number().over(Window.partitionBy("tree_id").orderBy(order, row_id))

@@ -6,12 +6,15 @@ to a shuffle than one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import datetime
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.clock import volume_multiplier
 from tallywatch.functions.rules import exceeds
 from tallywatch.schema import DEFAULT_CONFIG, RiskConfig
+from tallywatch.session import materialize
 
 
 def user_window_counts(df: DataFrame, config: RiskConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -91,44 +94,62 @@ def _calendar_hours(df: DataFrame) -> DataFrame:
     )
 
 
-def _fill_empty_hours(hours: DataFrame) -> DataFrame:
-    """Zero rows for the hours between two hours that have data.
-
-    The window has no partition key, but its input is the aggregated table: at most one
-    row per hour of the covered period.
-    """
-    one_hour = F.expr("INTERVAL 1 HOUR")
-    following = F.lead("hour_start", 1).over(Window.orderBy("hour_start"))
-    spans = hours.withColumn("_next", F.coalesce(following, F.col("hour_start") + one_hour))
-    return spans.select(
-        F.posexplode(
-            F.sequence(F.col("hour_start"), F.col("_next") - one_hour, one_hour)
-        ).alias("_step", "_hour"),
-        "doc_count",
-        "total_volume",
-    ).select(
-        F.col("_hour").alias("hour_start"),
-        F.when(F.col("_step") == 0, F.col("doc_count")).otherwise(0).alias("doc_count"),
-        F.when(F.col("_step") == 0, F.col("total_volume")).otherwise(0.0).alias("total_volume"),
+def _bounds(hours: DataFrame) -> DataFrame:
+    """First and last hour that have data, and how many hours lie between; one row, none
+    without data."""
+    ends = hours.agg(F.min("hour_start").alias("first"), F.max("hour_start").alias("last"))
+    return ends.filter(F.col("first").isNotNull()).withColumn(
+        "n_hours", F.expr("timestampdiff(HOUR, first, last)") + 1
     )
 
 
-def date_histogram(df: DataFrame) -> DataFrame:
-    """Count and volume per calendar hour, with empty hours inside the range as 0."""
-    return _fill_empty_hours(_calendar_hours(df))
+def _all_hours(hours: DataFrame) -> DataFrame:
+    """Every hour of the covered period: the days are dealt over the tasks, each of which
+    lists the hours of its own days."""
+    days = _bounds(hours).select(
+        "first", "last",
+        F.explode(F.sequence(
+            F.date_trunc("day", "first").cast(hours.schema["hour_start"].dataType), "last",
+            F.expr("INTERVAL 1 DAY"),
+        )).alias("day"),
+    ).repartition("day")
+    in_day = F.sequence(F.col("day"), F.expr("day + INTERVAL 23 HOURS"), F.expr("INTERVAL 1 HOUR"))
+    return days.select("first", "last", F.explode(in_day).alias("hour_start")).filter(
+        F.col("hour_start").between(F.col("first"), F.col("last"))
+    ).select("hour_start")
+
+
+def date_histogram(
+    df: DataFrame, first: datetime | None = None, last: datetime | None = None
+) -> DataFrame:
+    """Count and volume per calendar hour, with empty hours inside the period as 0.
+
+    The period runs from the first to the last transaction. ``first`` and ``last`` leave out
+    times before and after them, so that a stray date does not add years of empty hours.
+    The hours that have data are stored first, so the transactions are read once.
+    """
+    time = F.col("transaction_timestamp")
+    if first is not None:
+        df = df.filter(time >= F.lit(first))
+    if last is not None:
+        df = df.filter(time <= F.lit(last))
+    hours = materialize(_calendar_hours(df))
+    return _all_hours(hours).join(hours, "hour_start", "left").select(
+        "hour_start",
+        F.coalesce("doc_count", F.lit(0)).alias("doc_count"),
+        F.coalesce("total_volume", F.lit(0.0)).alias("total_volume"),
+    )
 
 
-def volume_vs_expected(df: DataFrame) -> DataFrame:
+def volume_vs_expected(
+    df: DataFrame, first: datetime | None = None, last: datetime | None = None
+) -> DataFrame:
     """Hourly counts against the mean hour times the expected-volume multiplier.
 
-    The mean runs over the aggregated hours only, so one scan of the rows is enough.
+    The mean is one scalar: all transactions of the period by its number of hours.
     """
-    hours = date_histogram(df)
-    mean = F.avg("doc_count").over(
-        Window.orderBy("hour_start").rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing
-        )
-    )
+    hours = date_histogram(df, first, last)
+    mean = hours.agg(F.sum("doc_count") / F.count("*")).scalar()
     return hours.withColumn(
         "expected_count", mean * volume_multiplier(F.col("hour_start"))
     ).withColumn(

@@ -11,24 +11,28 @@ SMALL_COLUMN = 100_000
 ACCURACY = 10_000
 
 
-def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
+def exact_quantile(
+    df: DataFrame, column: str, q: float, small: int | None = None
+) -> float | None:
     """The ``q``-quantile with linear interpolation between neighbouring ranks.
 
     Large columns are narrowed in rounds: a sketch brackets the wanted rank, one pass counts
     the rows below, at, between and above the bracket ends, and the next round keeps only the
     region that holds the rank. Heavy ties sit on the ends, so each round divides the
     candidates by about 1,000 and three rounds serve 10**12 rows. ``df`` is scanned twice per
-    round and should be stored.
+    round and should be stored. Up to ``small`` values (by default
+    ``SMALL_COLUMN``) are taken in one step.
     """
+    small = SMALL_COLUMN if small is None else small
     values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
     n = values.count()
     if n == 0:
         return None
-    if n <= SMALL_COLUMN:
+    if n <= small:
         return values.agg(F.percentile("v", F.lit(q))).first()[0]
     position = q * (n - 1)
     rank = int(position)
-    low = _value_at(values, n, rank)
+    low = _value_at(values, n, rank, small)
     if position == rank:
         return low
     row = values.agg(
@@ -39,11 +43,11 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
     return low + (high - low) * (position - rank)
 
 
-def _value_at(values: DataFrame, n: int, rank: int) -> float:
+def _value_at(values: DataFrame, n: int, rank: int, small: int) -> float:
     """Value at 0-based ``rank`` of the ascending order of ``n`` values."""
     v = F.col("v")
     margin = 2.0 / ACCURACY
-    while n > SMALL_COLUMN:
+    while n > small:
         share = rank / (n - 1)
         low, high = values.agg(F.percentile_approx(
             "v",
@@ -64,4 +68,8 @@ def _value_at(values: DataFrame, n: int, rank: int) -> float:
         if value is not None:
             return value
         values, n = values.filter(region), count
-    return values.agg(F.percentile("v", F.lit(rank / (n - 1) if n > 1 else 0.0))).first()[0]
+    # halfway between two cumulative shares, so rounding cannot pick a neighbour
+    share = (rank + 0.5) / n
+    return values.agg(
+        F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY v)")
+    ).first()[0]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.geo import distance_km
 from tallywatch.functions.rules import exceeds
-from tallywatch.operators.skew import broadcast_if_small
 from tallywatch.schema import DEFAULT_CONFIG, RiskConfig
 
 
@@ -45,21 +46,42 @@ def search(df: DataFrame, **terms) -> DataFrame:
 MAX_RULES = 10_000
 
 
-def apply_rule_table(df: DataFrame, rules: DataFrame, id_columns: list[str]) -> DataFrame:
-    """One row per transaction and rule on one of its measures.
+def apply_rule_table(
+    df: DataFrame, rules: DataFrame, id_columns: list[str], only_fired: bool = False
+) -> DataFrame:
+    """One row per transaction and rule on one of its measures, or only for fired rules.
 
     ``rules`` has ``rule_id, measure, threshold``; measures are ``amount`` and
     ``distance_km`` (``df`` must carry ``distance_from_nairobi``). A rule fires strictly
-    above its threshold.
+    above its threshold. The rules travel as arrays of about ``MAX_RULES``, so rows are neither
+    shuffled nor multiplied before the rules are decided.
     """
-    measures = df.select(
-        *id_columns,
-        F.explode(F.create_map(
-            F.lit("amount"), F.col("amount"),
-            F.lit("distance_km"), F.col("distance_from_nairobi"),
-        )).alias("measure", "measured"),
-    )
-    fired: Column = F.coalesce(F.col("measured") > F.col("threshold"), F.lit(False))
-    return measures.join(broadcast_if_small(rules, MAX_RULES), "measure").select(
-        *id_columns, "rule_id", fired.alias("fired")
-    )
+    parts = max(1, -(-rules.count() // MAX_RULES))
+    part = F.pmod(F.xxhash64("rule_id"), F.lit(parts))
+    decided = [
+        _decided(df, rules.filter(part == i), id_columns, only_fired) for i in range(parts)
+    ]
+    return reduce(DataFrame.unionByName, decided)
+
+
+def _decided(
+    df: DataFrame, rules: DataFrame, id_columns: list[str], only_fired: bool
+) -> DataFrame:
+    listed = rules.agg(
+        F.array_sort(F.collect_list(F.struct("rule_id", "measure", "threshold"))).alias("rules")
+    ).scalar()
+
+    def decide(rule: Column) -> Column:
+        measured = F.when(rule["measure"] == "amount", F.col("amount")).when(
+            rule["measure"] == "distance_km", F.col("distance_from_nairobi")
+        )
+        return F.struct(
+            rule["rule_id"].alias("rule_id"),
+            F.coalesce(measured > rule["threshold"], F.lit(False)).alias("fired"),
+        )
+
+    known = F.filter("_rules", lambda r: r["measure"].isin("amount", "distance_km"))
+    decided = F.transform(known, decide)
+    if only_fired:
+        decided = F.filter(decided, lambda r: r["fired"])
+    return df.withColumn("_rules", listed).select(*id_columns, F.inline(decided))

@@ -28,13 +28,15 @@ SALT = "_salt"
 class SkewPolicy:
     """Size limits.
 
-    A key is hot above ``hot_rows`` rows and above one ``max_hot_keys``-th of all rows, so
+    Aggregates per key are broadcast if there are at most ``broadcast_keys`` keys and at most
+    ``broadcast_share`` keys per row. A key is hot above ``hot_rows`` rows and above one ``max_hot_keys``-th of all rows, so
     there are never more than ``max_hot_keys`` hot keys, whatever the table size.
     """
 
     broadcast_keys: int = 200_000
     hot_rows: int = 100_000
     max_hot_keys: int = 200_000
+    broadcast_share: float = 0.25
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -53,9 +55,9 @@ def join_on(
 class KeyTable:
     """Sizes, hot keys and aggregates of ``rows`` per key.
 
-    Only what is asked for is computed: one scan of the key columns for the sizes, one partial
-    aggregation for the hot keys. The table is stored if it is small enough to broadcast, the
-    hot keys always.
+    Nothing is computed before it is asked for: one scan of the key columns for the sizes, one
+    partial aggregation for the hot keys. The table is stored if it is small enough to
+    broadcast, the hot keys always.
     """
 
     def __init__(
@@ -71,17 +73,30 @@ class KeyTable:
             F.count("*").alias(KEY_ROWS),
             *[column.alias(name) for name, column in (aggregates or {}).items()],
         )
-        size = rows.agg(
+        self._rows = rows
+
+    @cached_property
+    def _sizes(self) -> tuple[int, int]:
+        """Rows and estimated keys."""
+        size = self._rows.agg(
             F.count("*").alias("rows"),
             F.approx_count_distinct(F.xxhash64(*self.keys)).alias("keys"),
         ).first()
-        self.n_rows, self._estimated_keys = size["rows"], size["keys"]
-        self.row_limit = max(policy.hot_rows, self.n_rows // policy.max_hot_keys)
+        return size["rows"], size["keys"]
+
+    @property
+    def n_rows(self) -> int:
+        return self._sizes[0]
+
+    @property
+    def row_limit(self) -> int:
+        return max(self.policy.hot_rows, self.n_rows // self.policy.max_hot_keys)
 
     @cached_property
     def _stored(self) -> tuple[DataFrame, int] | None:
         """The table and its exact size, unless the estimate says it is too large."""
-        if self._estimated_keys > self.policy.broadcast_keys:
+        n_rows, n_keys = self._sizes
+        if n_keys > min(self.policy.broadcast_keys, self.policy.broadcast_share * n_rows):
             return None
         table = materialize(self._grouped)
         return table, table.count()
@@ -92,7 +107,7 @@ class KeyTable:
 
     @property
     def n_keys(self) -> int:
-        return self._stored[1] if self._stored else self._estimated_keys
+        return self._stored[1] if self._stored else self._sizes[1]
 
     @property
     def table(self) -> DataFrame:

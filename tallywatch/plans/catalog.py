@@ -25,6 +25,7 @@ from tallywatch.operators.features import (
     scale_features,
     with_calendar,
 )
+from tallywatch.operators.forest import fit_nodes
 from tallywatch.operators.model import AnomalyModel
 from tallywatch.operators.quantile import exact_quantile
 from tallywatch.operators.rules import apply_rule_table, apply_rules, flagged, search
@@ -33,6 +34,7 @@ from tallywatch.plans.scoring import (
     hybrid_scoring,
     join_scores,
     train_model,
+    train_test_split,
     with_enhanced_flag,
 )
 from tallywatch.plans.tables import (
@@ -43,16 +45,17 @@ from tallywatch.plans.tables import (
     wire_columns,
 )
 from tallywatch.schema import DEFAULT_CONFIG, FEATURES
-from tallywatch.session import fresh_path, ship_package
+from tallywatch.session import STATE_STORE, fresh_path, ship_package
 from tallywatch.sinks.documents import flagged_documents, hourly_documents
 from tallywatch.sinks.records import append_jsonl, keyed_records
-from tallywatch.sources.files import read_jsonl
+from tallywatch.sources.files import read_jsonl, read_lookup_table
 from tallywatch.sources.parse import parse_records, slim
-from tallywatch.streaming.causal import causal_batch_writer
+from tallywatch.streaming.causal import stage_writer, staged_features
 from tallywatch.streaming.queries import (
     alert_stream,
     frequency_stream,
     hourly_stream,
+    read_changes,
     read_snapshot,
     snapshot_writer,
     start,
@@ -207,9 +210,9 @@ def document_search(spark, folder):
 
 
 def _synthetic_scores(rows: DataFrame) -> DataFrame:
-    """A score that SQL can compute too, for two thirds of the rows."""
+    """A score of every row that SQL can compute too."""
     score = F.round(F.lit(0.1) - (F.col("event_id") % 20) / F.lit(100.0), 4)
-    return rows.filter(F.col("event_id") % 3 != 0).select(
+    return rows.select(
         "event_id", score.alias("ml_anomaly_score"), (score < 0).alias("is_ml_anomaly")
     )
 
@@ -226,7 +229,9 @@ def score_threshold(spark, folder):
 
 def _rules_and_scores(spark, folder):
     ruled = _ruled(spark, folder)
-    return join_scores(ruled, _synthetic_scores(ruled))
+    # the left join is about rows without a score: every third has none
+    scores = _synthetic_scores(ruled.filter(F.col("event_id") % 3 != 0))
+    return join_scores(ruled, scores)
 
 
 def rules_scores_left_join(spark, folder):
@@ -248,11 +253,14 @@ def user_count_join(spark, folder):
 
 
 def broadcast_rules(spark, folder):
-    rules = spark.createDataFrame(
+    """The rules are written and read as the lookup table that a user would keep."""
+    path = fresh_path(spark, "rules")
+    spark.createDataFrame(
         [("high_amount", "amount", 10000.0), ("very_high_amount", "amount", 30000.0),
          ("location_outlier", "distance_km", 50.0)],
         "rule_id string, measure string, threshold double",
-    )
+    ).coalesce(1).write.parquet(path)
+    rules = read_lookup_table(spark, path, cache=False)
     return apply_rule_table(_ruled(spark, folder), rules, ["event_id"])
 
 
@@ -435,13 +443,22 @@ def retrain_decision(spark, folder):
 def contamination_cut(spark, folder):
     """The exact 10 % quantile of the amounts, and the rows below it."""
     rows = transactions(spark, folder)
-    cut = exact_quantile(rows, "amount", 0.1)
+    return _cut(rows, exact_quantile(rows, "amount", 0.1))
+
+
+def _cut(rows: DataFrame, cut: float | None) -> DataFrame:
     return rows.agg(
         F.round(F.lit(cut).cast("double"), 6).alias("amount_cut"),
         F.count_if(F.col("amount") < F.lit(cut)).alias("below_cut"),
     )
 
 
+def contamination_cut_narrowed(spark, folder):
+    """The same through the rounds that large columns take."""
+    rows = transactions(spark, folder)
+    return _cut(rows, exact_quantile(rows, "amount", 0.1, small=500))
+
+
 # -- streams -------------------------------------------------------------------------------
 
 
@@ -473,6 +490,25 @@ def frequency_stream_result(spark, folder):
     })
 
 
+def frequency_updates_result(spark, folder):
+    """The same in update mode: closed windows leave the state, which RocksDB holds."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    path = fresh_path(spark, "updates")
+    stream = frequency_stream(transaction_stream(session, folder), DAILY, watermark="400 days")
+    writer = stream.writeStream.outputMode("update").foreachBatch(
+        snapshot_writer(f"{path}/data")
+    )
+    start(writer, f"{path}/checkpoint", None, available_now=True).awaitTermination()
+    found = read_changes(
+        spark, f"{path}/data", ["window_start", "window_end", "user_id"]
+    )
+    return found.withColumns({
+        "window_start": F.col("window_start").cast("timestamp_ntz"),
+        "window_end": F.col("window_end").cast("timestamp_ntz"),
+    })
+
+
 def hourly_stream_result(spark, folder):
     return _rounded(
         _complete_result(spark, hourly_stream(transaction_stream(spark, folder)), "hourly"),
@@ -483,31 +519,62 @@ def hourly_stream_result(spark, folder):
 def causal_user_features(spark, folder):
     path = fresh_path(spark, "causal")
     writer = transaction_stream(spark, folder).writeStream.foreachBatch(
-        causal_batch_writer(f"{path}/state", snapshot_writer(f"{path}/data"))
+        stage_writer(f"{path}/rows")
     )
     start(writer, f"{path}/checkpoint", None, available_now=True).awaitTermination()
-    features = spark.read.parquet(f"{path}/data").drop("batch_id")
-    return _rounded(features, 6, "user_avg_so_far")
+    return _rounded(staged_features(spark, f"{path}/rows"), 6, "user_avg_so_far")
 
 
 # -- model ---------------------------------------------------------------------------------
 
-_models: dict[tuple[str, str], tuple[AnomalyModel, DataFrame]] = {}
-
-
 def _trained(spark: SparkSession, folder: str) -> tuple[AnomalyModel, DataFrame]:
-    """Model and test features, trained once per session and folder."""
+    """Model and test features."""
     ship_package(spark)
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _models:
-        _models[key] = train_model(transactions(spark, folder), AnomalyModel())
-    return _models[key]
+    return train_model(transactions(spark, folder), AnomalyModel())
 
 
 def forest_nodes(spark, folder):
+    """The fitted trees, straight from the tasks that grow them."""
     ship_package(spark)
-    model, _ = train_model(transactions(spark, folder), AnomalyModel())
-    return model.nodes(spark)
+    training, _ = train_test_split(prepare_features(_ruled(spark, folder)))
+    return fit_nodes(training, training.count(), "event_id")
+
+
+def forest_leaf_sizes(spark, folder):
+    """Each tree's leaves hold its whole sample."""
+    leaves = forest_nodes(spark, folder).filter("feature < 0")
+    return leaves.groupBy("tree_id").agg(F.sum("n_samples").alias("n_samples"))
+
+
+def explanation_features(spark, folder):
+    """Reasons and feature values that explanations carry, without the scores."""
+    model, _ = _trained(spark, folder)
+    explained = model.explain(prepare_features(_ruled(spark, folder)))
+    values = explained.select(
+        "event_id", F.concat_ws(";", "explanations").alias("reasons"), "feature_values.*"
+    )
+    return _rounded(
+        values, 6, "distance_from_nairobi", "user_avg_amount", "amount_deviation",
+        "time_since_last_txn",
+    )
+
+
+def hybrid_rule_flags(spark, folder):
+    """What hybrid scoring says without its model part."""
+    model, _ = _trained(spark, folder)
+    scored = hybrid_scoring(transactions(spark, folder), model)
+    consistent = F.col("is_enhanced_fraud") == (F.col("is_flagged") | F.col("is_ml_anomaly"))
+    return scored.select("event_id", "is_flagged", consistent.alias("is_consistent"))
+
+
+def training_anomaly_share(spark, folder):
+    """The flagged share of the training rows, in whole percent."""
+    model, _ = _trained(spark, folder)
+    training, _ = train_test_split(prepare_features(_ruled(spark, folder)))
+    return model.score(training).agg(
+        F.round(100 * F.avg(F.col("is_ml_anomaly").cast("int")), 0).alias("anomaly_percent"),
+        F.count("*").alias("n_rows"),
+    )
 
 
 def forest_scores(spark, folder):
@@ -595,11 +662,17 @@ QUERIES: dict[str, Query] = {
     "train_split": train_split,
     "retrain_decision": retrain_decision,
     "contamination_cut": contamination_cut,
+    "contamination_cut_narrowed": contamination_cut_narrowed,
     "alert_stream": alert_stream_result,
     "frequency_stream": frequency_stream_result,
+    "frequency_updates": frequency_updates_result,
     "hourly_stream": hourly_stream_result,
     "causal_user_features": causal_user_features,
     "forest_nodes": forest_nodes,
+    "forest_leaf_sizes": forest_leaf_sizes,
+    "explanation_features": explanation_features,
+    "hybrid_rule_flags": hybrid_rule_flags,
+    "training_anomaly_share": training_anomaly_share,
     "forest_scores": forest_scores,
     "model_evaluation": model_evaluation,
     "feature_importance": feature_importance,

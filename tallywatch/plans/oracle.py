@@ -38,10 +38,10 @@ SCORES = RULED + """,
 scores AS (
   SELECT event_id, round(0.1 - (event_id % 20) / 100.0::double, 4) AS ml_anomaly_score,
          round(0.1 - (event_id % 20) / 100.0::double, 4) < 0 AS is_ml_anomaly
-  FROM tx WHERE event_id % 3 <> 0),
+  FROM tx),
 joined AS (
   SELECT ruled.*, ml_anomaly_score, is_ml_anomaly
-  FROM ruled LEFT JOIN scores USING (event_id))"""
+  FROM ruled LEFT JOIN (SELECT * FROM scores WHERE event_id % 3 <> 0) USING (event_id))"""
 
 CALENDAR = """
          CAST(hour(transaction_timestamp) AS integer) AS hour_of_day,
@@ -359,9 +359,36 @@ SELECT 48.0::double AS age_hours, round(accuracy, 6) AS accuracy, n_samples,
 cut AS (SELECT quantile_cont(amount, 0.1) AS q FROM tx)""", """
 SELECT round(any_value(q), 6) AS amount_cut, count(*) FILTER (amount < q) AS below_cut
 FROM tx, cut"""),
+        "contamination_cut_narrowed": _with(TX + """,
+cut AS (SELECT quantile_cont(amount, 0.1) AS q FROM tx)""", """
+SELECT round(any_value(q), 6) AS amount_cut, count(*) FILTER (amount < q) AS below_cut
+FROM tx, cut"""),
+        "forest_leaf_sizes": f"""
+SELECT CAST(tree AS integer) AS tree_id, least(256, n) AS n_samples
+FROM range(0, 100) t(tree), (
+  SELECT count(*) AS n FROM events
+  WHERE {HASH.format(text='CAST(event_id AS varchar)')} % 100 < 80)""",
+        "training_anomaly_share": f"""
+SELECT 10.0::double AS anomaly_percent, count(*) AS n_rows FROM events
+WHERE {HASH.format(text='CAST(event_id AS varchar)')} % 100 < 80""",
+        "hybrid_rule_flags": _with(RULED, """
+SELECT event_id, is_flagged, true AS is_consistent FROM ruled"""),
+        "explanation_features": _with(HISTORY, f"""
+SELECT event_id, {REASONS.format(rapid='gap_seconds < 3600')} AS reasons,
+       amount::double AS amount, hour_of_day::double AS hour_of_day,
+       day_of_week::double AS day_of_week, day_of_month::double AS day_of_month,
+       round(distance_from_nairobi, 6) AS distance_from_nairobi,
+       user_transaction_count::double AS user_transaction_count,
+       round(user_avg_amount, 6) AS user_avg_amount,
+       round(amount_deviation, 6) AS amount_deviation,
+       round(time_since_last_txn, 6) AS time_since_last_txn,
+       is_weekend::double AS is_weekend, is_business_hours::double AS is_business_hours,
+       is_end_of_month::double AS is_end_of_month FROM features"""),
         "alert_stream": _with(RULED, f"""
 SELECT event_id, user_id, amount, {RULE_COLUMNS} FROM ruled WHERE is_flagged"""),
         "frequency_stream": _with(WINDOWS, """
+SELECT *, true AS is_high_frequency FROM windows WHERE transaction_count > 5"""),
+        "frequency_updates": _with(WINDOWS, """
 SELECT *, true AS is_high_frequency FROM windows WHERE transaction_count > 5"""),
         "hourly_stream": _with(HOURLY, HOURLY_ROWS),
         "causal_user_features": _with(TX, f"""

@@ -9,13 +9,11 @@ from tallywatch.schema import DEFAULT_CONFIG
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The same table as a file stream. The glob makes file and folder work alike."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = read_table(spark, folder, name).schema
     return (
         spark.readStream.schema(schema)

@@ -23,30 +23,6 @@ TRANSACTION_OR_CORRUPT = T.StructType(
     [*TRANSACTION.fields, T.StructField(CORRUPT, T.StringType())]
 )
 
-# A row after parsing and the rule columns; what the alert outputs carry.
-SCORED = T.StructType([
-    T.StructField("user_id", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("transaction_timestamp", T.TimestampType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("distance_from_nairobi", T.DoubleType()),
-    T.StructField("is_high_amount", T.BooleanType()),
-    T.StructField("is_location_outlier", T.BooleanType()),
-    T.StructField("is_flagged", T.BooleanType()),
-])
-
-HOURLY = T.StructType([
-    T.StructField("hour", T.IntegerType()),
-    T.StructField("total_transactions", T.LongType()),
-    T.StructField("total_volume", T.DoubleType()),
-    T.StructField("flagged_count", T.LongType()),
-    T.StructField("avg_amount", T.DoubleType()),
-    T.StructField("max_amount", T.DoubleType()),
-    T.StructField("min_amount", T.DoubleType()),
-])
-
 # The fields a search document may carry, in index order.
 # Timestamps travel as ISO-8601 text, the hour as two digits.
 DOCUMENT = T.StructType([

@@ -10,6 +10,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+"""Keeps streaming state on disk rather than in the executors' heap."""
+
+
 def build_session(app_name: str = "tallywatch", **settings: str) -> SparkSession:
     """Session in UTC with AQE; the master comes from spark-submit or ``settings``."""
     builder = (
@@ -18,6 +22,7 @@ def build_session(app_name: str = "tallywatch", **settings: str) -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         .config("spark.ui.enabled", "false")
     )
     for key, value in settings.items():
@@ -44,7 +49,7 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a single-process local session without that setting gets a temporary folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -52,22 +57,40 @@ def shared_dir(spark: SparkSession) -> str:
         context.setCheckpointDir(folder)
     folder = folder or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.partition("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="tallywatch-")
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+_made: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """New folder name below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """New folder name below the shared folder; ``remove_tables`` deletes it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Delete the folders that this session has made below the shared folder.
+
+    Results that still read from them must have been written or collected before.
+    """
+    jvm = spark.sparkContext._jvm
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(settings).delete(folder, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage and read it from there afterwards."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet to the shared folder; later reads prune columns."""
+    path = fresh_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, key: str, at_most: int | None = None) -> DataFrame:

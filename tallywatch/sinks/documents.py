@@ -16,6 +16,7 @@ FLAGGED = "flagged_transaction"
 HOURLY_AGGREGATE = "hourly_aggregate"
 DOCUMENT_ID = "_id"
 
+# Documents per request, and tries on connection errors.
 BULK_SIZE = 1000
 MAX_ATTEMPTS = 3
 
@@ -27,19 +28,20 @@ def iso_text(ts: Column) -> Column:
     return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
 
 
-def flagged_documents(df: DataFrame, row_id: str | None = None) -> DataFrame:
-    """Scored rows as documents with a stable ``_id``, so that a retry overwrites.
+def flagged_documents(df: DataFrame, row_id: str = "event_id") -> DataFrame:
+    """Scored rows as documents whose ``_id`` is the row id, so that a retry overwrites.
 
-    Without ``row_id`` the id is a digest of the document.
+    There is no id made from the content: equal transactions are different documents.
     """
+    if row_id not in df.columns:
+        raise ValueError(f"documents need the row id column {row_id}")
     shaped = df.withColumns({
         "location": F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon")),
         "transaction_timestamp": iso_text(F.col("transaction_timestamp")),
         "document_type": F.lit(FLAGGED),
     })
     fields = [f.name for f in DOCUMENT if f.name in shaped.columns]
-    identity = F.col(row_id).cast("string") if row_id else F.md5(F.to_json(F.struct(*fields)))
-    return shaped.select(identity.alias(DOCUMENT_ID), *fields)
+    return shaped.select(F.col(row_id).cast("string").alias(DOCUMENT_ID), *fields)
 
 
 def hourly_documents(metrics: DataFrame, stamped: bool = True) -> DataFrame:

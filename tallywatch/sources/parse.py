@@ -8,19 +8,35 @@ from pyspark.sql import functions as F
 from tallywatch.schema import CORRUPT, TRANSACTION, TRANSACTION_OR_CORRUPT
 
 
-def parse_records(records: DataFrame, keep_corrupt: bool = False) -> DataFrame:
+ROW_ID = "event_id"
+TOPIC_POSITION = ["topic", "partition", "offset"]
+
+
+def parse_records(
+    records: DataFrame, keep_corrupt: bool = False, row_id: str | None = None
+) -> DataFrame:
     """``value`` JSON and ``timestamp`` of the bus to transaction columns.
 
+    ``event_id`` is the column ``row_id`` of the records, or topic, partition and offset if
+    they carry these: the same for a record that is read again, and different for equal ones.
     A malformed value becomes an all-null row. With ``keep_corrupt`` its text is kept in
     ``_corrupt`` so that it can be routed elsewhere.
     """
     schema = TRANSACTION_OR_CORRUPT if keep_corrupt else TRANSACTION
     options = {"columnNameOfCorruptRecord": CORRUPT} if keep_corrupt else {}
+    if row_id:
+        identity = [F.col(row_id).alias(ROW_ID)]
+    elif set(TOPIC_POSITION) <= set(records.columns):
+        identity = [F.concat_ws("-", *TOPIC_POSITION).alias(ROW_ID)]
+    else:
+        identity = []
     parsed = records.select(
         F.from_json(F.col("value").cast("string"), schema, options).alias("t"),
         F.col("timestamp").alias("kafka_timestamp"),
+        *identity,
     )
-    return flatten_location(with_event_time(parsed.select("t.*", "kafka_timestamp")))
+    columns = [c for c in parsed.columns if c != "t"]
+    return flatten_location(with_event_time(parsed.select("t.*", *columns)))
 
 
 def with_event_time(df: DataFrame) -> DataFrame:

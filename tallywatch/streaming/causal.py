@@ -1,16 +1,17 @@
-"""Per-user features that only look back, carried across micro-batches.
+"""Per-user features that only look back, over rows that a stream has gathered.
 
-Each micro-batch computes running values inside the batch and adds the users' totals from a
-state table in the shared folder. The state is written per batch id, so a batch that is run
-again starts from the same state and replaces its own output.
+The stream writes each micro-batch to a folder of its own. Features are computed over the
+gathered rows in event-time order, so they do not depend on the order in which rows came.
 
-Inside a batch, ordinary users take one window pass. Rows of hot users are range-partitioned
-by (user, time, row id), which cuts a hot user into even runs; running values are computed
-per run and shifted by the totals of the earlier runs.
+Ordinary users take one window pass. Rows of hot users are range-partitioned by (user, time,
+row id), which cuts a hot user into even runs; running values are computed per run and
+shifted by the totals of the earlier runs.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -25,10 +26,7 @@ from tallywatch.operators.skew import (
     join_on,
 )
 from tallywatch.session import materialize
-from tallywatch.streaming.queries import BatchWriter, fan_out
-
-# Every so many batches the state of all users is written, otherwise that of the batch's users.
-FULL_STATE_EVERY = 20
+from tallywatch.streaming.queries import BatchWriter
 
 
 def _running(window: WindowSpec) -> list[Column]:
@@ -145,33 +143,44 @@ def merge_states(*states: DataFrame) -> DataFrame:
     )
 
 
-def read_state(spark: SparkSession, root: str, before_batch: int) -> DataFrame | None:
-    """The newest totals per user before a batch: the last full state and the changes since."""
-    if before_batch == 0:
-        return None
-    last_full = (before_batch - 1) // FULL_STATE_EVERY * FULL_STATE_EVERY
-    folders = [f"{root}/batch_id={i}" for i in range(last_full, before_batch)]
-    changes = spark.read.option("basePath", root).parquet(*folders)
-    totals = [c for c in changes.columns if c not in (USER, "batch_id")]
-    return changes.groupBy(USER).agg(
-        F.max_by(F.struct(*totals), "batch_id").alias("newest")
-    ).select(USER, "newest.*")
+def stage_writer(root: str) -> BatchWriter:
+    """``foreachBatch`` function: the rows of a batch in a folder of their own, replaced if the
+    batch runs again."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+
+    return write
 
 
-def causal_batch_writer(
-    state_root: str,
-    write: BatchWriter,
+def staged_features(
+    spark: SparkSession,
+    root: str,
+    until: datetime | None = None,
     row_id: str = ROW_ID,
     policy: SkewPolicy = DEFAULT_POLICY,
-) -> BatchWriter:
-    """``foreachBatch`` function; ``write`` must replace the output of a repeated batch."""
-    def run_batch(batch: DataFrame, batch_id: int) -> None:
-        state = read_state(batch.sparkSession, state_root, batch_id)
-        features, totals = causal_features(batch, state, row_id, policy)
-        write(features, batch_id)
-        if batch_id % FULL_STATE_EVERY == 0 and state is not None:
-            unchanged = join_on(state, totals.select(USER), [USER], "left_anti")
-            totals = totals.unionByName(unchanged)
-        totals.write.mode("overwrite").parquet(f"{state_root}/batch_id={batch_id}")
-
-    return fan_out(run_batch)
+) -> DataFrame:
+    """Features of all staged rows with event times before ``until``.
+
+    Rows are ordered by event time and row id, so neither the order of files nor the size of
+    batches matters.
+    """
+    rows = spark.read.parquet(root).drop("batch_id")
+    if until is not None:
+        rows = rows.filter(F.col(TIME) < F.lit(until))
+    return causal_features(rows, None, row_id, policy)[0]
+
+
+def late_rows(spark: SparkSession, root: str, delay_seconds: int) -> DataFrame:
+    """Staged rows that came more than ``delay_seconds`` behind the latest event time of the
+    batches before theirs, with ``seconds_late``. They are part of the features like all
+    others, and change those of rows after them that were read earlier."""
+    rows = spark.read.parquet(root)
+    second = epoch_seconds(F.col(TIME).cast("timestamp"))
+    latest = rows.groupBy("batch_id").agg(F.max(second).alias("second"))
+    listed = latest.agg(F.collect_list(F.struct("batch_id", "second"))).scalar()
+    before = F.array_max(F.transform(
+        F.filter("_batches", lambda b: b["batch_id"] < F.col("batch_id")), lambda b: b["second"]
+    ))
+    behind = before - second - F.lit(delay_seconds)
+    return rows.withColumn("_batches", listed).withColumn("seconds_late", behind).drop(
+        "_batches").filter(F.col("seconds_late") > 0)

@@ -13,9 +13,11 @@ from tallywatch.operators.metrics import frequent_users, hourly_metrics
 from tallywatch.operators.rules import apply_rules, flagged
 from tallywatch.schema import DEFAULT_CONFIG, RiskConfig
 from tallywatch.sinks.documents import (
+    BulkClient,
     flagged_documents,
     hourly_documents,
     write_document_files,
+    write_documents,
 )
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -96,12 +98,8 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     return snapshots.filter(F.col("batch_id") == max(map(int, batch_ids))).drop("batch_id")
 
 
-def change_writer(root: str) -> BatchWriter:
-    """Update-mode results, one folder per batch; ``read_changes`` keeps the newest per key."""
-    return snapshot_writer(root)
-
-
 def read_changes(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """Update-mode results of ``snapshot_writer``: the newest of each key."""
     changes = spark.read.parquet(root)
     values = [c for c in changes.columns if c not in (*keys, "batch_id")]
     return changes.groupBy(*keys).agg(
@@ -144,48 +142,81 @@ def start_documents(
     write_hourly: BatchWriter,
     config: RiskConfig = DEFAULT_CONFIG,
     available_now: bool = False,
+    also: Sequence[BatchWriter] = (),
 ) -> list[StreamingQuery]:
-    """Flagged and hourly documents; the writers get shaped documents and the batch id."""
+    """Flagged and hourly documents; the writers get shaped documents and the batch id.
+
+    ``also`` are further outputs, such as model scoring. They get all parsed rows of the same
+    micro-batch, which is read once. Hourly totals keep state and read by themselves.
+    """
     def flagged_batch(batch: DataFrame, batch_id: int) -> None:
-        row_id = "event_id" if "event_id" in batch.columns else None
-        write_flagged(flagged_documents(batch, row_id), batch_id)
+        write_flagged(flagged_documents(flagged(apply_rules(batch, config))), batch_id)
 
     def hourly_batch(batch: DataFrame, batch_id: int) -> None:
         write_hourly(hourly_documents(batch), batch_id)
 
-    alerts = alert_stream(parsed, config).writeStream.outputMode("append")
+    rows = parsed.writeStream.outputMode("append").foreachBatch(fan_out(flagged_batch, *also))
     hourly = hourly_stream(parsed, config).writeStream.outputMode("complete")
     return [
-        start(alerts.foreachBatch(flagged_batch), f"{checkpoint}/documents_flagged",
-              DOCUMENT_TRIGGER, available_now),
+        start(rows, f"{checkpoint}/documents_flagged", DOCUMENT_TRIGGER, available_now),
         start(hourly.foreachBatch(hourly_batch), f"{checkpoint}/documents_hourly",
               HOURLY_TRIGGER, available_now),
     ]
 
 
 def document_file_writers(root: str) -> tuple[BatchWriter, BatchWriter]:
-    """Flagged documents per batch; hourly documents always in the same folder."""
+    """A folder per batch for either kind; ``read_newest`` reads the last hourly documents, so
+    no reader ever finds a folder that is being replaced by a later batch."""
     def flagged_files(documents: DataFrame, batch_id: int) -> None:
         write_document_files(documents, f"{root}/flagged", batch_id)
 
     def hourly_files(documents: DataFrame, batch_id: int) -> None:
-        write_document_files(documents, f"{root}/hourly")
+        write_document_files(documents, f"{root}/hourly", batch_id)
 
     return flagged_files, hourly_files
 
 
+def read_newest(spark: SparkSession, root: str) -> DataFrame:
+    """JSON documents of the newest batch below ``root``."""
+    documents = spark.read.json(root)
+    batch_ids = re.findall(r"batch_id=(\d+)", "\n".join(documents.inputFiles()))
+    return documents.filter(F.col("batch_id") == max(map(int, batch_ids))).drop("batch_id")
+
+
+def bulk_writers(
+    make_client: Callable[[], BulkClient], **options
+) -> tuple[BatchWriter, BatchWriter]:
+    """Both kinds of documents to an index, from the executors; see ``write_documents``."""
+    def bulk(documents: DataFrame, batch_id: int) -> None:
+        write_documents(documents, make_client, **options)
+
+    return bulk, bulk
+
+
 def start_job(
-    parsed: DataFrame, output: str, checkpoint: str, document_root: str | None = None, **options
+    parsed: DataFrame,
+    output: str,
+    checkpoint: str,
+    document_root: str | None = None,
+    make_client: Callable[[], BulkClient] | None = None,
+    bulk_options: dict | None = None,
+    **options,
 ) -> list[StreamingQuery]:
-    """All queries of one output mode: ``console`` or ``documents``."""
+    """All queries of one output mode: ``console`` or ``documents``.
+
+    Documents go to files below ``document_root``, or to the index that ``make_client``
+    reaches. ``also`` adds outputs that get all parsed rows.
+    """
     if output == "console":
         return start_console(parsed, checkpoint, **options)
     if output == "documents":
-        if document_root is None:
-            raise ValueError("documents need document_root")
-        return start_documents(
-            parsed, checkpoint, *document_file_writers(document_root), **options
-        )
+        if make_client is not None:
+            writers = bulk_writers(make_client, **(bulk_options or {}))
+        elif document_root is not None:
+            writers = document_file_writers(document_root)
+        else:
+            raise ValueError("documents need document_root or make_client")
+        return start_documents(parsed, checkpoint, *writers, **options)
     raise ValueError(f"unknown output {output!r}")
 
 
@@ -204,3 +235,4 @@ def wait_for_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None
         for query in queries:
             if query.isActive:
                 query.stop()
+        spark.streams.resetTerminated()

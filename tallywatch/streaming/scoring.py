@@ -10,7 +10,14 @@ from tallywatch.operators.features import add_feature_columns
 from tallywatch.operators.history import ROW_ID, TIME, USER, user_aggregates, with_history
 from tallywatch.operators.model import AnomalyModel
 from tallywatch.operators.rules import apply_rules
-from tallywatch.operators.skew import DEFAULT_POLICY, KeyTable, SkewPolicy, attach, join_on
+from tallywatch.operators.skew import (
+    DEFAULT_POLICY,
+    KeyTable,
+    SkewPolicy,
+    attach,
+    broadcast_if_small,
+    join_on,
+)
 from tallywatch.plans.scoring import with_enhanced_flag
 from tallywatch.schema import DEFAULT_CONFIG, RiskConfig
 from tallywatch.streaming.queries import BatchWriter, fan_out
@@ -29,11 +36,8 @@ def build_profiles(history: DataFrame) -> DataFrame:
 def with_profiles(
     stream: DataFrame, profiles: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
-    """Stream-static left join to a profile table that is small enough to broadcast."""
-    n_profiles = profiles.limit(policy.broadcast_keys + 1).count()
-    if n_profiles > policy.broadcast_keys:
-        raise ValueError("too many profiles to broadcast, use profile_batch_writer")
-    return stream.join(F.broadcast(profiles), USER, "left")
+    """Stream-static left join, null-safe; profiles are broadcast if they are few enough."""
+    return join_on(stream, broadcast_if_small(profiles, policy.broadcast_keys), [USER])
 
 
 def profile_batch_writer(

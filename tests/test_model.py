@@ -127,12 +127,18 @@ def test_fit_does_not_depend_on_partitioning(features, model):
     assert again.forest.offset == pytest.approx(model.forest.offset)
 
 
-def test_samples_with_many_rows(spark):
-    """Above 1.5 rows per drawn sample each row serves at most one tree."""
-    sample = draw_samples(spark.range(200_000).toDF("event_id"), 200_000, "event_id", 10, 64, 42)
+@pytest.mark.parametrize("n_rows", [300, 900, 5_000, 200_000])
+def test_one_sampling_scheme_at_every_size(spark, n_rows):
+    """Trees draw independently: any two share about as many rows as chance gives them."""
+    rows = spark.range(n_rows).toDF("event_id")
+    sample = draw_samples(rows, n_rows, "event_id", 40, 64, 42)
     sizes = sample.groupBy("tree_id").count().collect()
-    assert len(sizes) == 10 and {r["count"] for r in sizes} <= set(range(50, 65))
-    assert sample.select("event_id").distinct().count() == sample.count()
+    assert len(sizes) == 40 and {r["count"] for r in sizes} <= set(range(48, 65))
+    by_tree = sample.groupBy("tree_id").agg(F.collect_set("event_id").alias("ids")).collect()
+    sets = [set(r.ids) for r in by_tree]
+    shared = [len(a & b) for i, a in enumerate(sets) for b in sets[:i]]
+    expected = np.mean([len(s) for s in sets]) ** 2 / n_rows
+    assert np.mean(shared) == pytest.approx(expected, rel=0.25, abs=0.15)
 
 
 def test_constant_data_gives_single_leaf():
@@ -286,5 +292,18 @@ def test_exact_quantile(spark, monkeypatch, shape, q):
     df.unpersist()
 
 
+@pytest.mark.parametrize("n, step", [(44, 1), (1000, 29)])
+def test_every_rank_is_a_real_value(spark, n, step):
+    """Wide gaps, so that a value beside the right one shows."""
+    values = np.sort(np.exp(np.random.default_rng(n).normal(0, 30, n)))
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").cache()
+    for small in (10**6, 20):
+        for rank in range(0, n, step):
+            if small == 20 and rank % 3:
+                continue
+            assert quantile._value_at(df, n, rank, small) == values[rank]
+    df.unpersist()
+
+
 def test_quantile_of_nothing(spark):
     assert quantile.exact_quantile(spark.createDataFrame([], "x double"), "x", 0.1) is None

@@ -13,6 +13,7 @@ from tallywatch.operators.model import AnomalyModel
 from tallywatch.operators.rules import apply_rules, flagged
 from tallywatch.operators.skew import SkewPolicy
 from tallywatch.plans.catalog import DAILY
+from tallywatch.plans.scoring import hybrid_scoring
 from tallywatch.plans.stream_job import run_stream_job
 from tallywatch.plans.tables import transactions
 from tallywatch.sinks.documents import (
@@ -24,15 +25,16 @@ from tallywatch.sinks.documents import (
 )
 from tallywatch.sinks.records import append_jsonl, keyed_records, topic_writer_options
 from tallywatch.sources.files import read_jsonl
+from tallywatch.sources.parse import parse_records
 from tallywatch.sources.streams import read_stream, topic_options
 from tallywatch.streaming import causal
 from tallywatch.streaming.queries import (
     alert_stream,
-    change_writer,
     fan_out,
     frequency_stream,
     hourly_stream,
     read_changes,
+    read_newest,
     read_snapshot,
     snapshot_writer,
     start,
@@ -110,7 +112,7 @@ def test_frequency_in_complete_and_update_mode(spark, stream, batch, tmp_path):
     drain(complete.foreachBatch(snapshot_writer(str(tmp_path / "full"))), tmp_path / "c1")
     assert rows(read_snapshot(spark, str(tmp_path / "full"))) == expected
     update = frequency_stream(stream, DAILY, watermark="2 days").writeStream.outputMode("update")
-    drain(update.foreachBatch(change_writer(str(tmp_path / "changes"))), tmp_path / "c2")
+    drain(update.foreachBatch(snapshot_writer(str(tmp_path / "changes"))), tmp_path / "c2")
     changes = read_changes(
         spark, str(tmp_path / "changes"), ["window_start", "window_end", "user_id"]
     )
@@ -157,24 +159,53 @@ def causal_rows(df):
     return result
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(0, 50, 10**6)])
-def test_causal_features_over_several_batches(
-    spark, stream, batch, tmp_path, policy, monkeypatch
-):
-    monkeypatch.setattr(causal, "FULL_STATE_EVERY", 2)
-    write = causal.causal_batch_writer(
-        str(tmp_path / "state"), snapshot_writer(str(tmp_path / "out")), policy=policy
-    )
-    query = drain(stream.writeStream.foreachBatch(write), tmp_path / "c")
-    assert len(query.recentProgress) >= N_FILES
-    columns = ["user_id", "event_id", "user_count_so_far", "user_avg_so_far",
-               "seconds_since_last"]
-    found = spark.read.parquet(str(tmp_path / "out"))
+CAUSAL = ["user_id", "event_id", "user_count_so_far", "user_avg_so_far", "seconds_since_last"]
+
+
+@pytest.mark.parametrize("n_files, policy", [
+    (1, SkewPolicy()), (4, SkewPolicy(0, 50, 10**6)), (1_100, SkewPolicy()),
+])
+def test_causal_features_do_not_depend_on_files(spark, batch, tmp_path, n_files, policy):
+    """Rows of all times are in every file; above 1,000 files there are two micro-batches."""
+    batch.repartition(n_files, "event_id").write.parquet(str(tmp_path / "in"))
+    source = read_stream(spark, "parquet", schema=batch.schema, path=str(tmp_path / "in"),
+                         max_files_per_trigger=1_000)
+    staged = str(tmp_path / "rows")
+    write = causal.stage_writer(staged)
+    drain(source.writeStream.foreachBatch(write), tmp_path / "c")
     expected = causal_rows(spark.sql(EXPECTED_CAUSAL.format(rows="{df}"), df=batch))
-    assert causal_rows(found.select(*columns)) == expected
-    # A batch that runs again after a lost commit starts from the same state.
+    found = causal.staged_features(spark, staged, policy=policy)
+    assert found.filter("seconds_since_last < 0").isEmpty()
+    assert causal_rows(found.select(*CAUSAL)) == expected
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, stream, batch, tmp_path):
+    staged = str(tmp_path / "rows")
+    write = causal.stage_writer(staged)
+    drain(stream.writeStream.foreachBatch(write), tmp_path / "c")
     write(batch.filter("event_id >= 7500"), 3)
-    assert causal_rows(spark.read.parquet(str(tmp_path / "out")).select(*columns)) == expected
+    early = batch.filter("event_id < 5000")
+    until = early.agg(F.max("transaction_timestamp")).first()[0]
+    seen = batch.filter(F.col("transaction_timestamp") < F.lit(until))
+    expected = causal_rows(spark.sql(EXPECTED_CAUSAL.format(rows="{df}"), df=seen))
+    assert causal_rows(causal.staged_features(spark, staged, until).select(*CAUSAL)) == expected
+
+
+def test_late_rows_are_counted_and_kept(spark, tmp_path):
+    start_time = datetime(2024, 1, 1)
+    schema = "event_id long, user_id string, amount double, transaction_timestamp timestamp"
+    staged = str(tmp_path / "rows")
+    write = causal.stage_writer(staged)
+    for batch_id, minutes in enumerate([[0, 10], [11, 4], [9, 30]]):
+        rows = [(100 * batch_id + m, "u", 1.0, start_time + timedelta(minutes=m))
+                for m in minutes]
+        write(spark.createDataFrame(rows, schema), batch_id)
+        write(spark.createDataFrame(rows, schema), batch_id)
+    late = {r.event_id: r.seconds_late for r in causal.late_rows(spark, staged, 60).collect()}
+    assert late == {104: 300, 209: 60}
+    gaps = {r.event_id: r.seconds_since_last for r in causal.staged_features(
+        spark, staged).collect()}
+    assert gaps == {0: None, 104: 240, 209: 300, 10: 60, 111: 60, 230: 1140}
 
 
 def test_causal_features_of_hot_users_with_ties_and_nulls(spark):
@@ -224,8 +255,10 @@ def test_stream_profile_joins(spark, stream, batch, tmp_path):
     found = spark.read.parquet(str(tmp_path / "direct"))
     assert rows(found.fillna(-1.0).select(*columns)) == expected
     tiny = SkewPolicy(0, 50, 10**6)
-    with pytest.raises(ValueError, match="too many profiles"):
-        with_profiles(stream, profiles, tiny)
+    shuffled = with_profiles(stream, profiles, tiny).writeStream.format("parquet")
+    drain(shuffled.option("path", str(tmp_path / "shuffled")), tmp_path / "c0")
+    found = spark.read.parquet(str(tmp_path / "shuffled"))
+    assert rows(found.fillna(-1.0).select(*columns)) == expected
     salted = profile_batch_writer(profiles, snapshot_writer(str(tmp_path / "b")), policy=tiny)
     drain(stream.writeStream.foreachBatch(salted), tmp_path / "c2")
     found = spark.read.parquet(str(tmp_path / "b"))
@@ -251,33 +284,104 @@ def test_micro_batch_scoring(spark, stream, batch, tmp_path):
         "is_enhanced_fraud").count() > 0
 
 
-def test_document_job_from_json_records(spark, batch, tmp_path):
-    """Record files to documents: two queries, and hourly documents are never doubled."""
+@pytest.fixture()
+def records(spark, batch, tmp_path):
+    """Raw JSON records as two files, with a position as a topic has it."""
     source = str(tmp_path / "records")
     wire = batch.filter("event_id < 3000").withColumns({
         "timestamp": F.date_format("transaction_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
         "location": F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("long")),
     })
+    positions = {"topic": F.lit("t"), "partition": F.lit(0), "offset": F.col("event_id")}
     for part in (wire.filter("event_id < 1500"), wire.filter("event_id >= 1500")):
-        keyed_records(part).select("value").coalesce(1).write.mode("append").text(source)
-    lines = read_stream(spark, "text", schema="value string", path=source,
-                        max_files_per_trigger=1)
-    records = lines.withColumn("timestamp", F.current_timestamp())
-    run_stream_job(spark, records, "documents", str(tmp_path / "c"),
+        value = F.to_json(F.struct("user_id", "amount", "timestamp", "type", "location"))
+        part.select(value.alias("value"), *[c.alias(n) for n, c in positions.items()]).coalesce(
+            1).write.mode("append").parquet(source)
+    stream = read_stream(
+        spark, "parquet", schema="value string, topic string, partition int, offset long",
+        path=source, max_files_per_trigger=1)
+    return stream.withColumn("timestamp", F.current_timestamp()), wire
+
+
+def test_document_job_from_json_records(spark, records, tmp_path):
+    """Record files to documents: two queries, and hourly documents are never doubled."""
+    source, wire = records
+    run_stream_job(spark, source, "documents", str(tmp_path / "c"),
                    document_root=str(tmp_path / "docs"), available_now=True)
     found = spark.read.json(str(tmp_path / "docs" / "flagged"))
     expected = flagged(apply_rules(wire))
+    assert {r[0] for r in found.select("_id").collect()} == {
+        f"t-0-{r[0]}" for r in expected.select("event_id").collect()}
     assert found.count() == expected.count()
-    assert found.select("_id").distinct().count() == found.count()
     assert {r[0] for r in found.select("document_type").distinct().collect()} == {
         "flagged_transaction"
     }
-    hourly = spark.read.json(str(tmp_path / "docs" / "hourly"))
+    hourly = read_newest(spark, str(tmp_path / "docs" / "hourly"))
     assert hourly.count() == 24
     assert hourly.agg(F.sum("total_transactions")).first()[0] == 3000
     assert hourly.first().timestamp.startswith("20")
 
 
+def test_scored_job_equals_batch_scoring(spark, records, batch, tmp_path):
+    """Raw records through the job with a model: the enhanced flags of hybrid scoring."""
+    source, wire = records
+    model = AnomalyModel(n_trees=10).train(prepare_features(apply_rules(batch)))
+    rows_ = wire.withColumn("event_id", F.concat(F.lit("t-0-"), F.col("event_id")))
+    # one micro-batch after an empty history sees what batch scoring sees
+    run_stream_job(
+        spark, source_in_one_batch(spark, tmp_path), "documents", str(tmp_path / "c"), model=model,
+        profiles=build_profiles(batch.filter("event_id < 0")),
+        write_scored=lambda df, i: df.select("event_id", "is_enhanced_fraud").write.mode(
+            "overwrite").parquet(f"{tmp_path}/scored/batch_id={i}"),
+        document_root=str(tmp_path / "docs"), available_now=True)
+    expected = hybrid_scoring(rows_, model).select("event_id", "is_enhanced_fraud")
+    found = spark.read.parquet(str(tmp_path / "scored")).select("event_id", "is_enhanced_fraud")
+    assert rows(found) == rows(expected)
+    with pytest.raises(ValueError, match="profiles"):
+        run_stream_job(spark, source, "documents", str(tmp_path / "x"), model=model)
+
+
+def source_in_one_batch(spark, tmp_path):
+    return read_stream(
+        spark, "parquet", schema="value string, topic string, partition int, offset long",
+        path=str(tmp_path / "records"), max_files_per_trigger=100,
+    ).withColumn("timestamp", F.current_timestamp())
+
+
+def test_bulk_job_sends_documents_and_fails_with_the_index(spark, records, tmp_path):
+    source, wire = records
+    root = tmp_path / "index"
+    root.mkdir()
+    run_stream_job(
+        spark, source, "documents", str(tmp_path / "c"), available_now=True,
+        make_client=lambda: FolderClient(str(root)), bulk_options={"bulk_size": 100})
+    names = {p.name for p in root.glob("*.json")}
+    assert len(names) == flagged(apply_rules(wire)).count() + 24
+
+    class Down:
+        def bulk(self, documents):
+            raise ConnectionError("index is down")
+
+    with pytest.raises(Exception, match="index is down"):
+        run_stream_job(
+            spark, source, "documents", str(tmp_path / "d"), available_now=True,
+            make_client=Down, bulk_options={"pause": lambda seconds: None})
+
+
+def test_equal_records_are_two_documents(spark):
+    value = json.dumps({"user_id": "u", "amount": 50000.0, "timestamp": "2024-01-01T00:00:00"})
+    records = spark.createDataFrame(
+        [(value, "t", 0, 7), (value, "t", 0, 8)],
+        "value string, topic string, partition int, offset long",
+    ).withColumn("timestamp", F.current_timestamp())
+    documents = flagged_documents(flagged(apply_rules(parse_records(records))))
+    assert sorted(r._id for r in documents.collect()) == ["t-0-7", "t-0-8"]
+    by_offset = parse_records(records, row_id="offset")
+    assert sorted(r.event_id for r in by_offset.collect()) == [7, 8]
+    with pytest.raises(ValueError, match="row id"):
+        flagged_documents(by_offset.drop("event_id"))
+
+
 def test_console_job_and_unknown_output(spark, stream, tmp_path, capfd):
     queries = start_job(stream, "console", str(tmp_path / "c"), available_now=True)
     wait_for_all(spark, queries)
