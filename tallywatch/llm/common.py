@@ -14,6 +14,9 @@ from tallywatch.session import fresh_path, ship_package
 
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 """Odd multipliers of the splitmix64 finaliser (fixed values)."""
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_000
+"""Rows of an Arrow batch."""
 KNOWN_WORDS = 400_000
 """Words a task remembers before it starts a new memory; only speed depends on it."""
 
@@ -44,10 +47,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, and keep Arrow batches small: a task holds several copies of a batch,
+    and texts are long. A limit that the session has set lower stays."""
+    ship_package(spark)
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
     """``mapInArrow`` with state per task: ``make()`` runs once per partition and returns a
     function from one batch to one batch."""
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()

@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import map_batches, stored, table, text_or_empty
-from tallywatch.session import ship_package
+from tallywatch.llm.common import map_batches, prepare, stored, table, text_or_empty
 
 LENGTHS = (512, 1024, 2048, 4096)
 SEQUENCE_COST = 16
@@ -133,7 +132,7 @@ def pack_documents(docs: DataFrame, lengths: Sequence[int] = LENGTHS) -> DataFra
     Every piece of every row is in exactly one bin, repeated rows included. Shards hold
     SHARD_PIECES pieces at most on average, dealt evenly, whatever ids they carry.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     lengths = tuple(sorted(lengths))
     pieces = stored(document_pieces(docs, lengths[-1]), "pieces")
     shards = max(1, -(-pieces.count() // SHARD_PIECES))

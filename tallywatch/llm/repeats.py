@@ -22,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import map_batches, mix64, stored, table, text_or_empty
-from tallywatch.session import ship_package
+from tallywatch.llm.common import map_batches, mix64, prepare, stored, table, text_or_empty
 
 LENGTH = 400
 GRAM = 64
@@ -287,7 +286,7 @@ def compare_contexts(contexts: DataFrame, length: int) -> DataFrame:
     ``contexts`` has one row (mark, context_key, context, n) per different context; all of a
     mark are in one task, which takes blocks of whole marks.
     """
-    ship_package(contexts.sparkSession)
+    prepare(contexts.sparkSession)
 
     def flag(block: list[list[tuple]]) -> Iterator[tuple]:
         """Rows of a block of marks; a mark with one context that occurs often needs no array."""
