@@ -17,6 +17,12 @@ from tallywatch.llm.repeats import cut_repeats
 from tallywatch.llm.secret_scan import mask_secrets
 
 
+PASSAGE_WORDS = 51
+"""Words of the shortest passage that the repeats stage cuts."""
+PASSAGE_BYTES = 2 * PASSAGE_WORDS - 1
+"""Bytes that any passage of so many words has at least, whatever its language."""
+
+
 def with_new_length(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long"))
 
@@ -32,8 +38,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the long strings that stand in several places."""
-    return with_new_length(cut_repeats(docs))
+    """All documents, without passages of over 50 words, or strings of 400 bytes, that stand in
+    several places."""
+    return with_new_length(cut_repeats(docs, PASSAGE_BYTES, PASSAGE_WORDS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -432,19 +432,35 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(parts) + raw[at:]
 
 
-def kept_texts(removed: DataFrame, as_text: bool = False) -> DataFrame:
+def whole_words(raw: bytes, begin: int, end: int) -> int:
+    """Words of a text that lie in a span and are not cut by it."""
+    part = raw[begin:end]
+    n = len(part.split())
+    if n and begin:
+        n -= not (raw[begin - 1:begin].isspace() or part[:1].isspace())
+    if n and end < len(raw):
+        n -= not (raw[end:end + 1].isspace() or part[-1:].isspace())
+    return n
+
+
+def kept_texts(removed: DataFrame, as_text: bool = False, words: int = 0) -> DataFrame:
     """(text_key, n_removed, n_spans, kept) of texts with removed spans; ``kept`` in bytes, or
-    as text without characters of which only a part stays."""
+    as text without characters of which only a part stays. Runs under LENGTH bytes stay if
+    they hold fewer than ``words`` whole words."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             removed_, numbers, kept = [], [], []
             for text, spans in zip(
                     batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+                raw = text.encode()
                 runs = merged_spans(spans)
+                if words:
+                    runs = [(a, b) for a, b in runs
+                            if b - a >= LENGTH or whole_words(raw, a, b) >= words]
                 removed_.append(sum(b - a for a, b in runs))
                 numbers.append(len(runs))
-                left = without(text.encode(), runs)
+                left = without(raw, runs)
                 kept.append(left.decode(errors="ignore") if as_text else left)
             return pa.RecordBatch.from_arrays(
                 [batch.column("text_key"), pa.array(removed_, pa.int64()),
@@ -471,11 +487,12 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def cut_repeats(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
     """All rows and columns of ``docs``; repeated strings are cut from ``text``. Characters
-    of which only a part was repeated go with it. A null text stays null."""
+    of which only a part was repeated go with it. A null text stays null. With ``words``, runs
+    of repeated strings under LENGTH bytes go only if they hold so many whole words."""
     _, removed = removals(docs.select(text_or_empty()), length)
-    clean = kept_texts(removed, as_text=True).select("text_key", "kept")
+    clean = kept_texts(removed, as_text=True, words=words).select("text_key", "kept")
     whole = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
