@@ -235,15 +235,19 @@ def viterbi(scores: np.ndarray, steps: np.ndarray, before: bool, after: bool) ->
 
 
 def all_spans(text: str, tagger: Tagger) -> list[Span]:
-    """The base spans, and those of the field that overlap none of them."""
+    """The base spans, and those of the field that do not lie within them."""
     base = base_spans(text)
     starts = [s[0] for s in base]
     reach = np.maximum.accumulate([s[1] for s in base]) if base else np.empty(0)
     extra = []
     for span in tagger.spans(text):
-        at = int(np.searchsorted(starts, span[1]))  # base spans that begin before its end
-        if at == 0 or reach[at - 1] <= span[0]:
-            extra.append(span)
+        covered = span[0]
+        while covered < span[1]:
+            at = int(np.searchsorted(starts, covered, "right"))
+            if at == 0 or reach[at - 1] <= covered:
+                extra.append(span)
+                break
+            covered = reach[at - 1]
     order = (*KINDS, FIELD)
     return sorted(base + extra, key=lambda s: (s[0], order.index(s[2])))
 
