@@ -6,7 +6,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from conftest import DATA
 from tallywatch.plans import catalog
 
 TABLES = (
@@ -18,11 +17,11 @@ RELATIVE = 1e-9
 
 
 @pytest.fixture(scope="module")
-def duck():
+def duck(data):
     connection = duckdb.connect()
     for table in TABLES:
         connection.execute(
-            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{DATA}/{table}.parquet')"
+            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{data}/{table}.parquet')"
         )
     return connection
 
