@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallywatch.llm.alignment import op13_alignment
 from tallywatch.llm.bpe import op3_bpe
 from tallywatch.llm.html_text import op6_html
 from tallywatch.llm.lm import op4_lm
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_repeats": op9_repeats,
     "op10_topk": op10_topk,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
