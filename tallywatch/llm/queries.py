@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tallywatch.llm.alignment import op13_alignment
 from tallywatch.llm.bpe import op3_bpe
 from tallywatch.llm.html_text import op6_html
+from tallywatch.llm.infill import ORACLE as INFILL_SQL
+from tallywatch.llm.infill import op12_infill
 from tallywatch.llm.lm import op4_lm
 from tallywatch.llm.neardup import op5_neardup
 from tallywatch.llm.packing import op7_packing
@@ -30,9 +32,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_repeats": op9_repeats,
     "op10_topk": op10_topk,
+    "op12_infill": op12_infill,
     "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
     "op10_topk": TOPK_SQL,
+    "op12_infill": INFILL_SQL,
 }
