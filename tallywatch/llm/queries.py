@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallywatch.llm.alignment import op13_alignment
 from tallywatch.llm.bpe import op3_bpe
+from tallywatch.llm.decontaminate import ORACLE as DECONTAMINATE_SQL
+from tallywatch.llm.decontaminate import op11_decontaminate
 from tallywatch.llm.html_text import op6_html
 from tallywatch.llm.infill import ORACLE as INFILL_SQL
 from tallywatch.llm.infill import op12_infill
@@ -32,11 +34,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_repeats": op9_repeats,
     "op10_topk": op10_topk,
+    "op11_decontaminate": op11_decontaminate,
     "op12_infill": op12_infill,
     "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
     "op10_topk": TOPK_SQL,
+    "op11_decontaminate": DECONTAMINATE_SQL,
     "op12_infill": INFILL_SQL,
 }
