@@ -16,4 +16,4 @@ def odd(spark, tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def empty(spark, tmp_path_factory):
-    return fixtures.folder(spark, tmp_path_factory.mktemp("tables") / "empty", [], [], [])
+    return fixtures.folder(spark, tmp_path_factory.mktemp("tables") / "empty", [], [], [], [])
