@@ -51,6 +51,7 @@ from tallywatch.sinks.records import append_jsonl, keyed_records
 from tallywatch.sources.files import read_jsonl, read_lookup_table
 from tallywatch.sources.parse import parse_records, slim
 from tallywatch.streaming.causal import stage_writer, staged_features
+from tallywatch.streaming.stateful import END, causal_stream, with_heartbeats, write_heartbeat
 from tallywatch.streaming.queries import (
     alert_stream,
     frequency_stream,
@@ -525,6 +526,28 @@ def causal_user_features(spark, folder):
     return _rounded(staged_features(spark, f"{path}/rows"), 6, "user_avg_so_far")
 
 
+def causal_user_features_stateful(spark, folder):
+    """The same from the stream's own state: one run over the rows, and a second one, from its
+    checkpoint, that a last heartbeat lets give out the rows still waiting."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    path = fresh_path(spark, "stateful")
+    write_heartbeat(session, f"{path}/beats")
+
+    def drain() -> None:
+        rows = with_heartbeats(transaction_stream(session, folder), f"{path}/beats")
+        writer = causal_stream(rows, "400 days").writeStream.outputMode("append")
+        start(
+            writer.format("parquet").option("path", f"{path}/data"), f"{path}/checkpoint", None,
+            available_now=True,
+        ).awaitTermination()
+
+    drain()
+    write_heartbeat(session, f"{path}/beats", END)
+    drain()
+    return _rounded(spark.read.parquet(f"{path}/data"), 6, "user_avg_so_far")
+
+
 # -- model ---------------------------------------------------------------------------------
 
 def _trained(spark: SparkSession, folder: str) -> tuple[AnomalyModel, DataFrame]:
@@ -668,6 +691,7 @@ QUERIES: dict[str, Query] = {
     "frequency_updates": frequency_updates_result,
     "hourly_stream": hourly_stream_result,
     "causal_user_features": causal_user_features,
+    "causal_user_features_stateful": causal_user_features_stateful,
     "forest_nodes": forest_nodes,
     "forest_leaf_sizes": forest_leaf_sizes,
     "explanation_features": explanation_features,

@@ -132,6 +132,15 @@ quality AS (
          tn + fp + fn + tp AS n_samples
   FROM cells, lines l WHERE l.class = 'True')"""
 
+CAUSAL = f"""
+SELECT user_id, event_id, count(*) OVER so_far AS user_count_so_far,
+       round(avg(amount) OVER so_far, 6) AS user_avg_so_far,
+       {SECONDS} - lag({SECONDS}) OVER (
+         PARTITION BY user_id ORDER BY transaction_timestamp, event_id) AS seconds_since_last
+FROM tx
+WINDOW so_far AS (PARTITION BY user_id ORDER BY transaction_timestamp, event_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
 REASONS = """
   concat_ws(';',
     CASE WHEN amount > 10000 THEN 'High amount transaction' END,
@@ -391,12 +400,6 @@ SELECT *, true AS is_high_frequency FROM windows WHERE transaction_count > 5""")
         "frequency_updates": _with(WINDOWS, """
 SELECT *, true AS is_high_frequency FROM windows WHERE transaction_count > 5"""),
         "hourly_stream": _with(HOURLY, HOURLY_ROWS),
-        "causal_user_features": _with(TX, f"""
-SELECT user_id, event_id, count(*) OVER so_far AS user_count_so_far,
-       round(avg(amount) OVER so_far, 6) AS user_avg_so_far,
-       {SECONDS} - lag({SECONDS}) OVER (
-         PARTITION BY user_id ORDER BY transaction_timestamp, event_id) AS seconds_since_last
-FROM tx
-WINDOW so_far AS (PARTITION BY user_id ORDER BY transaction_timestamp, event_id
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+        "causal_user_features": _with(TX, CAUSAL),
+        "causal_user_features_stateful": _with(TX, CAUSAL),
     }
