@@ -12,6 +12,17 @@ def hash32(row_key: Column, salt: str = "") -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
+def hash52(*parts: Column | int) -> Column:
+    """First 52 bits of the md5 of the parts, joined by colons, as a non-negative long."""
+    return F.conv(F.substring(hash_text(*parts), 1, 13), 16, 10).cast("long")
+
+
+def hash_text(*parts: Column | int) -> Column:
+    """md5 of the parts, joined by colons; any engine with md5 can repeat it."""
+    columns = [F.lit(p) if isinstance(p, int) else p for p in parts]
+    return F.md5(F.concat_ws(":", *[c.cast("string") for c in columns]))
+
+
 def unit_interval(row_key: Column, salt: str) -> Column:
     """Uniform double in [0, 1)."""
     return hash32(row_key, salt) / F.lit(4294967296.0)

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallywatch.functions.hashing import hash52, hash_text
 from tallywatch.functions.rules import reasons
 from tallywatch.operators import forest as iforest
 from tallywatch.operators.evaluation import (
@@ -60,7 +61,9 @@ class AnomalyModel:
         Its model columns are stored first, because samples and scores both read them, and
         so are the scores, which the quantile reads several times.
         """
-        rows = materialize(self._inputs(feature_table).select(self.row_id, *self.features))
+        inputs = self._inputs(feature_table)
+        rows = materialize(inputs.select(
+            self.row_id, *iforest.model_inputs(inputs, self.features)))
         n_rows = rows.count()
         if n_rows == 0:
             raise ValueError("no training rows")
@@ -111,9 +114,13 @@ class AnomalyModel:
 
     # -- use ------------------------------------------------------------------------
 
-    def score(self, feature_table: DataFrame) -> DataFrame:
-        """Adds score and anomaly flag in place; no join, one row out per row in."""
-        return self._fitted().score(self._inputs(feature_table))
+    def score(
+        self, feature_table: DataFrame, compiled: bool = False, paths: str | None = None
+    ) -> DataFrame:
+        """Adds score and anomaly flag in place; no join, one row out per row in. ``compiled``
+        scores without Python workers, with the same result to the last bit; ``paths`` names a
+        column for the sum of path lengths."""
+        return self._fitted().score(self._inputs(feature_table), compiled, paths)
 
     def explain(self, feature_table: DataFrame, config: RiskConfig = DEFAULT_CONFIG) -> DataFrame:
         """Flag, score, reasons and feature values for every row.
@@ -151,14 +158,14 @@ class AnomalyModel:
         One shuffle serves all columns.
         """
         fitted = self._fitted()
-        rows = materialize(self._inputs(feature_table).select(
-            self.row_id,
-            F.array(*[F.col(c).cast("double") for c in self.features]).alias("own"),
+        inputs = self._inputs(feature_table)
+        rows = materialize(inputs.select(
+            self.row_id, F.array(*iforest.model_inputs(inputs, self.features)).alias("own"),
         ))
         n_buckets = rows.count() // SHUFFLE_BUCKET_ROWS + 1
-        bucket = F.pmod(F.xxhash64(self.row_id, F.lit(self.seed)), F.lit(n_buckets))
+        bucket = hash52(self.seed, F.col(self.row_id)) % F.lit(n_buckets)
         order = Window.partitionBy("bucket").orderBy(
-            F.xxhash64(self.row_id, F.lit(self.seed + 1)), self.row_id
+            hash_text(self.seed + 1, F.col(self.row_id)), self.row_id
         )
         whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         # Few bytes but much arithmetic per row, so AQE must not merge the tasks.

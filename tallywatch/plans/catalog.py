@@ -560,7 +560,7 @@ def forest_nodes(spark, folder):
     """The fitted trees, straight from the tasks that grow them."""
     ship_package(spark)
     training, _ = train_test_split(prepare_features(_ruled(spark, folder)))
-    return fit_nodes(training, training.count(), "event_id")
+    return _rounded(fit_nodes(training, training.count(), "event_id"), 6, "threshold")
 
 
 def forest_leaf_sizes(spark, folder):
@@ -602,35 +602,51 @@ def training_anomaly_share(spark, folder):
 
 def forest_scores(spark, folder):
     model, _ = _trained(spark, folder)
-    return model.score(prepare_features(_ruled(spark, folder))).select(
+    return _rounded(model.score(prepare_features(_ruled(spark, folder))).select(
         "event_id", "ml_anomaly_score", "is_ml_anomaly"
-    )
+    ), 9, "ml_anomaly_score")
+
+
+def forest_scores_compiled(spark, folder):
+    """The same by SQL expressions alone, from a forest read back from its stored node table;
+    with the exact sum of path lengths."""
+    model, _ = _trained(spark, folder)
+    stored = AnomalyModel(fresh_path(spark, "model"))
+    model.path = stored.path
+    model.save(spark)
+    if not stored.load(spark):
+        raise ValueError(f"no model at {stored.path}")
+    scored = stored.score(
+        prepare_features(_ruled(spark, folder)), compiled=True, paths="path_sum")
+    return _rounded(scored.select(
+        "event_id", "path_sum", "ml_anomaly_score", "is_ml_anomaly"), 9, "ml_anomaly_score")
 
 
 def model_evaluation(spark, folder):
     model, test = _trained(spark, folder)
-    return model.evaluate(test)["classification_report"]
+    return _rounded(
+        model.evaluate(test)["classification_report"], 6, "precision", "recall", "f1_score")
 
 
 def feature_importance(spark, folder):
     model, test = _trained(spark, folder)
-    return model.importance(test)
+    return _rounded(model.importance(test), 6, "importance")
 
 
 def explain_anomalies(spark, folder):
     model, _ = _trained(spark, folder)
     explained = model.explain(prepare_features(_ruled(spark, folder)))
-    return explained.select(
+    return _rounded(_rounded(explained.select(
         "event_id", "is_anomaly", "anomaly_score",
         F.concat_ws(";", "explanations").alias("explanations"), "feature_values.*",
-    )
+    ), 9, "anomaly_score"), 6, *FEATURES)
 
 
 def hybrid_scores(spark, folder):
     model, _ = _trained(spark, folder)
-    return hybrid_scoring(transactions(spark, folder), model).select(
+    return _rounded(hybrid_scoring(transactions(spark, folder), model).select(
         "event_id", "is_flagged", "ml_anomaly_score", "is_ml_anomaly", "is_enhanced_fraud"
-    )
+    ), 9, "ml_anomaly_score")
 
 
 QUERIES: dict[str, Query] = {
@@ -698,6 +714,7 @@ QUERIES: dict[str, Query] = {
     "hybrid_rule_flags": hybrid_rule_flags,
     "training_anomaly_share": training_anomaly_share,
     "forest_scores": forest_scores,
+    "forest_scores_compiled": forest_scores_compiled,
     "model_evaluation": model_evaluation,
     "feature_importance": feature_importance,
     "explain_anomalies": explain_anomalies,

@@ -108,13 +108,13 @@ MULTIPLIER = """
   * (CASE WHEN hour({ts}) BETWEEN 8 AND 18 THEN 1.5::double
           WHEN hour({ts}) BETWEEN 19 AND 22 THEN 1.2::double ELSE 0.3::double END)"""
 
-CELLS = RULED + """,
+QUALITY = """
 cells AS (
-  SELECT count(*) FILTER (NOT is_fraud AND NOT is_flagged) AS tn,
-         count(*) FILTER (NOT is_fraud AND is_flagged) AS fp,
-         count(*) FILTER (is_fraud AND NOT is_flagged) AS fn,
-         count(*) FILTER (is_fraud AND is_flagged) AS tp
-  FROM ruled),
+  SELECT count(*) FILTER (NOT is_fraud AND NOT {guess}) AS tn,
+         count(*) FILTER (NOT is_fraud AND {guess}) AS fp,
+         count(*) FILTER (is_fraud AND NOT {guess}) AS fn,
+         count(*) FILTER (is_fraud AND {guess}) AS tp
+  FROM {rows}),
 classes AS (
   SELECT 'False' AS class, tn AS hit, fn AS wrong, fp AS missed FROM cells
   UNION ALL SELECT 'True', tp, fp, fn FROM cells),
@@ -131,6 +131,19 @@ quality AS (
   SELECT (tn + tp)::double / (tn + fp + fn + tp) AS accuracy, l.precision, l.recall, l.f1_score,
          tn + fp + fn + tp AS n_samples
   FROM cells, lines l WHERE l.class = 'True')"""
+CELLS = RULED + "," + QUALITY.format(guess="is_flagged", rows="ruled")
+
+REPORT = """
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1_score, 6) AS f1_score, support FROM lines
+UNION ALL SELECT 'accuracy', round(accuracy, 6), round(accuracy, 6), round(accuracy, 6),
+       n_samples FROM quality
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6),
+       round(avg(f1_score), 6), CAST(sum(support) AS bigint) FROM lines
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6),
+       round(sum(f1_score * support) / sum(support), 6), CAST(sum(support) AS bigint)
+FROM lines"""
 
 CAUSAL = f"""
 SELECT user_id, event_id, count(*) OVER so_far AS user_count_so_far,
@@ -156,6 +169,122 @@ FEATURE_NAMES = [
 ]
 
 HASH = "('0x' || substr(md5({text}), 1, 8))::bigint"
+# The forest, grown and walked again from the hashes that decide its samples and splits.
+
+PATH = """CASE WHEN {n} > 2 THEN
+  round((2 * (ln({n} - 1) + 0.5772156649015329::double) - 2 * ({n} - 1)::double / {n})
+        * 1073741824) / 1073741824 WHEN {n} = 2 THEN 1.0::double ELSE 0.0::double END"""
+MD5 = "('0x' || substr(md5({text}), 1, {digits}))::bigint"
+
+MODEL_ROWS = HISTORY + f""",
+model AS (
+  SELECT *, {HASH.format(text='CAST(event_id AS varchar)')} % 100 < 80 AS in_training,
+         [{', '.join(f'round(coalesce({name}, 0)::double, 6)' for name in FEATURE_NAMES)}] AS x
+  FROM features)"""
+
+
+def _splits(rows: str) -> str:
+    """CTEs that end with ``splits``: feature and cut of every (tree, node) of ``rows`` that can
+    be split."""
+    pick = MD5.format(text="concat('42:', tree, ':', node, ':feature')", digits=8)
+    share = MD5.format(text="concat('42:', tree, ':', node, ':cut')", digits=8)
+    return f"""
+  spread AS (SELECT tree, node, unnest(range(0, len(x))) AS f, unnest(x) AS v FROM {rows}),
+  ranges AS (SELECT tree, node, f, min(v) AS low, max(v) AS high, count(*) AS n FROM spread
+             GROUP BY ALL),
+  choices AS (SELECT tree, node, max(n) AS n, list(f ORDER BY f) FILTER (high > low) AS fs
+              FROM ranges GROUP BY ALL),
+  picked AS (SELECT tree, node, fs[{pick} % len(fs) + 1] AS f FROM choices
+             WHERE n > 1 AND len(fs) > 0),
+  cuts AS (SELECT tree, node, f, low, high,
+                  low + (high - low) * ({share} / 4294967296.0::double) AS c
+           FROM picked JOIN ranges USING (tree, node, f)),
+  splits AS (SELECT tree, node, f, CASE WHEN c >= high THEN low ELSE c END AS cut FROM cuts)"""
+
+
+FIRST_HASH = MD5.format(text="concat('42:', event_id)", digits=13)
+TREE_HASH = MD5.format(text="concat('42:', tree, ':', event_id)", digits=13)
+FOREST = MODEL_ROWS + f""",
+sized AS (
+  SELECT count(*) AS n, least(256, count(*)) AS size,
+         CAST(trunc(4503599627370496.0::double
+              * least(1.0::double, 1.5::double * least(256, count(*)) / count(*))) AS bigint)
+           AS bound
+  FROM model WHERE in_training),
+first AS (
+  SELECT event_id, x, bound, size,
+         CASE WHEN bound = 4503599627370496 THEN 0.0
+              ELSE floor(ln(({FIRST_HASH} + 1) / 4503599627370496.0::double)
+                         / ln(1 - bound / 4503599627370496.0::double)) END AS tree_1
+  FROM model, sized WHERE in_training),
+drawn AS (
+  SELECT tree, event_id, x, size FROM first, range(0, 100) t(tree)
+  WHERE tree = tree_1 OR (tree > tree_1 AND {TREE_HASH} < bound)),
+samples AS (
+  SELECT tree, event_id, x FROM drawn
+  QUALIFY row_number() OVER (
+    PARTITION BY tree ORDER BY md5(concat('44:', tree, ':', event_id)), event_id) <= size),
+deepest AS (
+  SELECT greatest(1, ceil(log2(greatest(size, 2))))::integer AS levels FROM sized),
+placed AS (
+  SELECT tree, event_id, x, 0::bigint AS node, 0 AS depth FROM samples
+  UNION ALL
+  (WITH here AS MATERIALIZED (SELECT placed.* FROM placed, deepest WHERE depth < levels),
+  {_splits('here')}
+   SELECT here.tree, here.event_id, here.x,
+          2 * here.node + 1 + (here.x[f + 1] > cut)::integer, here.depth + 1
+   FROM here JOIN splits USING (tree, node))),
+inner_rows AS (SELECT tree, node, x FROM placed, deepest WHERE depth < levels),
+{_splits('inner_rows')},
+nodes AS MATERIALIZED (
+  SELECT tree, node, depth, count(*) AS n, coalesce(any_value(f), -1) AS f,
+         coalesce(any_value(cut), 0.0::double) AS cut
+  FROM placed LEFT JOIN splits USING (tree, node) GROUP BY tree, node, depth),
+expected AS (SELECT {PATH.format(n='size')} AS length FROM sized)"""
+
+WALK = """,
+{name} AS (
+  SELECT {key}, tree, 0::bigint AS node FROM {rows}, range(0, 100) t(tree)
+  UNION ALL
+  SELECT {key}, w.tree, 2 * w.node + 1 + (x[f + 1] > cut)::integer
+  FROM {name} w JOIN nodes n ON n.tree = w.tree AND n.node = w.node AND f >= 0
+  JOIN {rows} USING ({key})),
+{name}_paths AS (
+  SELECT {key}, sum(depth + {path}) AS total
+  FROM {name} w JOIN nodes n ON n.tree = w.tree AND n.node = w.node AND f < 0 GROUP BY {key}),
+{name}_raw AS (
+  SELECT {key}, total, -pow(2.0::double, -(total / 100.0::double) / length) AS raw
+  FROM {name}_paths, expected)"""
+
+SCORED = FOREST + WALK.format(
+    name="walk", key="event_id", rows="model", path=PATH.format(n="n")) + """,
+cut_at AS (
+  SELECT quantile_cont(raw, 0.1) AS cut_off FROM walk_raw JOIN model USING (event_id)
+  WHERE in_training),
+scored AS (
+  SELECT model.*, total, raw - cut_off AS score, raw - cut_off < 0 AS is_ml_anomaly
+  FROM model JOIN walk_raw USING (event_id), cut_at)"""
+
+# Every test row as it is (trial 0), and with one feature of the next row of its bucket.
+TRIALS = FOREST + f""",
+test AS (SELECT event_id, x FROM model WHERE NOT in_training),
+bucketed AS (
+  SELECT *, {FIRST_HASH} % (SELECT count(*) // 250 + 1 FROM test) AS bucket FROM test),
+paired AS (
+  SELECT event_id, x, coalesce(lead(x) OVER w, first_value(x) OVER w) AS other FROM bucketed
+  WINDOW w AS (PARTITION BY bucket ORDER BY md5(concat('43:', event_id)), event_id)),
+trials AS (
+  SELECT event_id * 16 + k AS trial,
+         list_transform(range(1, len(x) + 1), lambda i: CASE WHEN i = k THEN other[i] ELSE x[i] END)
+           AS x
+  FROM paired, range(0, 13) t(k))""" + WALK.format(
+    name="walk", key="trial", rows="trials", path=PATH.format(n="n"))
+
+
+def _recursive(ctes: str, select: str) -> str:
+    return f"WITH RECURSIVE {ctes.strip()}\n{select.strip()}"
+
+
 RULE_COLUMNS = "distance_from_nairobi, is_high_amount, is_location_outlier, is_flagged"
 WIRE_TIME = "strftime(transaction_timestamp, '%Y-%m-%dT%H:%M:%S.%f')"
 ISO_TIME = (
@@ -289,17 +418,7 @@ SELECT false AS actual, false AS predicted, tn AS row_count FROM cells
 UNION ALL SELECT false, true, fp FROM cells
 UNION ALL SELECT true, false, fn FROM cells
 UNION ALL SELECT true, true, tp FROM cells"""),
-        "classification_report": _with(CELLS, """
-SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall,
-       round(f1_score, 6) AS f1_score, support FROM lines
-UNION ALL SELECT 'accuracy', round(accuracy, 6), round(accuracy, 6), round(accuracy, 6),
-       n_samples FROM quality
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6),
-       round(avg(f1_score), 6), CAST(sum(support) AS bigint) FROM lines
-UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
-       round(sum(recall * support) / sum(support), 6),
-       round(sum(f1_score * support) / sum(support), 6), CAST(sum(support) AS bigint)
-FROM lines"""),
+        "classification_report": _with(CELLS, REPORT),
         "binary_quality": _with(CELLS, """
 SELECT round(accuracy, 6) AS accuracy, round(precision, 6) AS precision,
        round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, n_samples FROM quality"""),
@@ -393,6 +512,31 @@ SELECT event_id, {REASONS.format(rapid='gap_seconds < 3600')} AS reasons,
        round(time_since_last_txn, 6) AS time_since_last_txn,
        is_weekend::double AS is_weekend, is_business_hours::double AS is_business_hours,
        is_end_of_month::double AS is_end_of_month FROM features"""),
+        "forest_nodes": _recursive(FOREST, """
+SELECT tree::integer AS tree_id, node::integer AS node_id, f::integer AS feature,
+       round(cut, 6) AS threshold, (CASE WHEN f < 0 THEN -1 ELSE 2 * node + 1 END)::integer AS left,
+       (CASE WHEN f < 0 THEN -1 ELSE 2 * node + 2 END)::integer AS right, n AS n_samples,
+       depth::integer AS depth FROM nodes"""),
+        "forest_scores": _recursive(SCORED, """
+SELECT event_id, round(score, 9) AS ml_anomaly_score, is_ml_anomaly FROM scored"""),
+        "forest_scores_compiled": _recursive(SCORED, """
+SELECT event_id, total AS path_sum, round(score, 9) AS ml_anomaly_score, is_ml_anomaly
+FROM scored"""),
+        "model_evaluation": _recursive(
+            SCORED + ", judged AS (SELECT * FROM scored WHERE NOT in_training),"
+            + QUALITY.format(guess="is_ml_anomaly", rows="judged"), REPORT),
+        "feature_importance": _recursive(TRIALS, f"""
+SELECT {FEATURE_NAMES}[(t.trial % 16)::integer] AS feature,
+       round(avg(abs(t.raw - own.raw)), 6) AS importance
+FROM walk_raw t JOIN walk_raw own ON own.trial = t.trial - t.trial % 16
+WHERE t.trial % 16 > 0 GROUP BY t.trial % 16"""),
+        "explain_anomalies": _recursive(SCORED, f"""
+SELECT event_id, is_ml_anomaly AS is_anomaly, round(score, 9) AS anomaly_score,
+       {REASONS.format(rapid='gap_seconds < 3600')} AS explanations,
+       {', '.join(f'round({n}::double, 6) AS {n}' for n in FEATURE_NAMES)} FROM scored"""),
+        "hybrid_scoring": _recursive(SCORED, """
+SELECT event_id, is_flagged, round(score, 9) AS ml_anomaly_score, is_ml_anomaly,
+       is_flagged OR is_ml_anomaly AS is_enhanced_fraud FROM scored"""),
         "alert_stream": _with(RULED, f"""
 SELECT event_id, user_id, amount, {RULE_COLUMNS} FROM ruled WHERE is_flagged"""),
         "frequency_stream": _with(WINDOWS, """

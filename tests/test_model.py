@@ -23,6 +23,7 @@ from tallywatch.operators.forest import (
     grow_tree,
     max_depth,
     score_matrix,
+    split_draws,
 )
 from tallywatch.operators.model import AnomalyModel
 from tallywatch.operators.rules import apply_rules
@@ -89,10 +90,31 @@ def test_scores_match_a_walk_through_the_nodes(model, features):
 
 def test_spark_scores_equal_the_matrix_scores(model, features):
     scored = model.score(features).limit(200).collect()
-    points = np.array([[float(r[c]) for c in FEATURES] for r in scored])
+    points = np.round([[float(r[c]) for c in FEATURES] for r in scored], 6)
     direct = model.forest.raw_score(points) - model.forest.offset
-    assert [r.ml_anomaly_score for r in scored] == pytest.approx(list(direct))
-    assert [r.is_ml_anomaly for r in scored] == [bool(s < 0) for s in direct]
+    assert [r.ml_anomaly_score for r in scored] == pytest.approx(list(direct), abs=1e-12)
+    assert all(r.is_ml_anomaly == bool(s < 0) for r, s in zip(scored, direct) if abs(s) > 1e-12)
+
+
+def test_compiled_scores_equal_the_batches_to_the_last_bit(model, features):
+    compiled = model.score(features, compiled=True, paths="path_sum")
+    assert set(compiled.columns) == {
+        *features.columns, "path_sum", "ml_anomaly_score", "is_ml_anomaly"}
+    plan = compiled._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    columns = ["event_id", "path_sum", "ml_anomaly_score", "is_ml_anomaly"]
+    both = model.score(features, paths="path_sum").select(columns)
+    assert compiled.select(columns).exceptAll(both).count() == 0
+    assert both.exceptAll(compiled.select(columns)).count() == 0
+
+
+def test_compiled_scores_of_a_small_forest(spark):
+    rows = spark.createDataFrame(
+        [(i, float(i % 4), i % 2) for i in range(6)], "event_id long, a double, b int")
+    small = AnomalyModel(features=["a", "b"], n_trees=3).train(rows)
+    left = small.score(rows, compiled=True).orderBy("event_id").collect()
+    assert left == small.score(rows).orderBy("event_id").collect()
+    assert small.score(rows.limit(0), compiled=True).collect() == []
 
 
 def test_training_share_of_anomalies_is_the_contamination(model, features):
@@ -142,7 +164,7 @@ def test_one_sampling_scheme_at_every_size(spark, n_rows):
 
 
 def test_constant_data_gives_single_leaf():
-    nodes = grow_tree(np.ones((10, 3)), np.random.default_rng(1), 4)
+    nodes = grow_tree(np.ones((10, 3)), split_draws(1, 0), 4)
     assert nodes == [(0, -1, 0.0, -1, -1, 10, 0)]
     frame = pd.DataFrame(
         [(0, *nodes[0])],
@@ -153,6 +175,20 @@ def test_constant_data_gives_single_leaf():
     assert score_matrix(np.ones((2, 3)), forest.arrays(), 10) == pytest.approx([-0.5, -0.5])
 
 
+def test_splits_put_every_row_on_one_side():
+    """Also where the cut would round up to the largest value."""
+    close = np.array([[1.0], [np.nextafter(1.0, 2.0)]] * 3)
+    for seed in range(40):
+        nodes = grow_tree(close, split_draws(seed, 0), 4)
+        assert [n[1] for n in nodes].count(0) == 1 and sum(n[5] for n in nodes if n[1] < 0) == 6
+
+
+def test_input_noise_does_not_move_a_row(model, features):
+    noisy = features.withColumn("user_avg_amount", F.col("user_avg_amount") * (1 + 1e-15))
+    left = model.score(features).select("event_id", "ml_anomaly_score")
+    assert left.exceptAll(model.score(noisy).select("event_id", "ml_anomaly_score")).count() == 0
+
+
 def test_model_round_trip(model, features, spark, tmp_path):
     model.path = str(tmp_path / "model")
     model.save(spark)
