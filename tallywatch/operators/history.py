@@ -57,15 +57,21 @@ def with_history(
     """
     users = users or KeyTable(rows, [USER], user_aggregates(), policy)
     if not users.has_hot_keys:
-        return _windowed(rows, row_id)
+        return history_of_ordinary_users(rows, row_id)
     ordinary, hot = users.split(rows)
     known = F.broadcast(users.hot.select(USER, *user_aggregates()))
-    return _windowed(ordinary, row_id).unionByName(
-        _collapsed_gaps(join_on(hot, known, [USER]), row_id)
+    return history_of_ordinary_users(ordinary, row_id).unionByName(
+        history_of_hot_users(hot, known, row_id)
     )
 
 
-def _windowed(rows: DataFrame, row_id: str) -> DataFrame:
+def history_of_hot_users(rows: DataFrame, users: DataFrame, row_id: str = ROW_ID) -> DataFrame:
+    """The same for rows of hot users only; ``users`` has their ``user_aggregates``."""
+    return _collapsed_gaps(join_on(rows, users, [USER]), row_id)
+
+
+def history_of_ordinary_users(rows: DataFrame, row_id: str = ROW_ID) -> DataFrame:
+    """The same in one window pass; a user's rows must fit one task."""
     user = Window.partitionBy(USER)
     seconds = epoch_seconds(F.col(TIME))
     previous = F.lag(seconds, 1).over(user.orderBy(TIME, row_id))

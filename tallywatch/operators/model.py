@@ -22,6 +22,12 @@ from tallywatch.operators.features import add_missing_features, fill_features
 from tallywatch.operators.forest import Forest, fit_nodes, score_matrix
 from tallywatch.operators.history import ROW_ID
 from tallywatch.operators.quantile import exact_quantile
+from tallywatch.operators.versions import (
+    current_version,
+    new_version,
+    publish,
+    version_path,
+)
 from tallywatch.schema import DEFAULT_CONFIG, FEATURES, RiskConfig
 from tallywatch.session import materialize, spread
 
@@ -52,6 +58,7 @@ class AnomalyModel:
         self.features = list(features)
         self.row_id = row_id
         self.forest: Forest | None = None
+        self.version: str | None = None
 
     # -- training -------------------------------------------------------------------
 
@@ -84,20 +91,27 @@ class AnomalyModel:
     # -- persistence ----------------------------------------------------------------
 
     def save(self, spark: SparkSession) -> None:
-        """Node table and settings as parquet below ``path``."""
+        """Node table and settings as a new version below ``path``, which readers see at once
+        and whole."""
         fitted = self._fitted()
-        self.nodes(spark).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/nodes")
+        version = new_version()
+        root = version_path(self.path, version)
+        self.nodes(spark).coalesce(1).write.parquet(f"{root}/nodes")
         spark.createDataFrame(
             [(fitted.sample_size, fitted.offset, fitted.columns, self.contamination, self.seed)],
             "sample_size int, offset double, columns array<string>, "
             "contamination double, seed long",
-        ).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/settings")
+        ).coalesce(1).write.parquet(f"{root}/settings")
+        publish(spark, self.path, version)
+        self.version = version
 
     def load(self, spark: SparkSession) -> bool:
-        """Read the model from ``path``; False if it is missing or unreadable."""
+        """Read the current version from ``path``; False if there is none or it is unreadable."""
         try:
-            nodes = spark.read.schema(iforest.NODE_SCHEMA).parquet(f"{self.path}/nodes")
-            settings = spark.read.parquet(f"{self.path}/settings").first()
+            version = current_version(spark, self.path)
+            root = version_path(self.path, version) if version else self.path
+            nodes = spark.read.schema(iforest.NODE_SCHEMA).parquet(f"{root}/nodes")
+            settings = spark.read.parquet(f"{root}/settings").first()
             self.forest = Forest(
                 nodes.orderBy("tree_id", "node_id").toPandas(),
                 settings["sample_size"],
@@ -107,11 +121,18 @@ class AnomalyModel:
         except (PySparkException, KeyError, TypeError, ValueError) as problem:
             logger.warning("no usable model at %s: %s", self.path, problem)
             return False
+        self.version = version
         self.features = self.forest.columns
         self.contamination = settings["contamination"]
         self.seed = settings["seed"]
         return True
 
+    def refresh(self, spark: SparkSession) -> bool:
+        """Load the current version if it is not the one in use; whether it was loaded. An
+        unreadable one leaves the model as it is."""
+        version = current_version(spark, self.path)
+        return version is not None and version != self.version and self.load(spark)
+
     # -- use ------------------------------------------------------------------------
 
     def score(

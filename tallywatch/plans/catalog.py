@@ -19,6 +19,7 @@ from tallywatch.functions.hashing import in_training_split
 from tallywatch.functions.rules import below_score, newer_than, reasons
 from tallywatch.operators import evaluation, history, metrics, quality
 from tallywatch.operators.features import (
+    add_feature_columns,
     add_missing_features,
     fill_features,
     prepare_features,
@@ -27,7 +28,7 @@ from tallywatch.operators.features import (
 )
 from tallywatch.operators.forest import fit_nodes
 from tallywatch.operators.model import AnomalyModel
-from tallywatch.operators.quantile import exact_quantile
+from tallywatch.operators.quantile import bracket_from, column_sketches, exact_quantile
 from tallywatch.operators.rules import apply_rule_table, apply_rules, flagged, search
 from tallywatch.operators.skew import KeyTable, attach
 from tallywatch.plans.scoring import (
@@ -49,13 +50,24 @@ from tallywatch.session import STATE_STORE, fresh_path, ship_package
 from tallywatch.sinks.documents import flagged_documents, hourly_documents
 from tallywatch.sinks.records import append_jsonl, keyed_records
 from tallywatch.sources.files import read_jsonl, read_lookup_table
+from tallywatch.sources.layouts import (
+    HistoryTable,
+    on_days,
+    read_daily,
+    recent_days,
+    write_bucketed,
+    write_calendar,
+    write_daily,
+)
 from tallywatch.sources.parse import parse_records, slim
+from tallywatch.streaming.figures import StreamFigures, observed
 from tallywatch.streaming.causal import stage_writer, staged_features
 from tallywatch.streaming.stateful import END, causal_stream, with_heartbeats, write_heartbeat
 from tallywatch.streaming.queries import (
     alert_stream,
     frequency_stream,
     hourly_stream,
+    open_windows,
     read_changes,
     read_snapshot,
     snapshot_writer,
@@ -411,6 +423,59 @@ def scaled_features(spark, folder):
     return _rounded(scale_features(features), 5, *FEATURES)
 
 
+def feature_table_bucketed(spark, folder):
+    """The feature table from a history that is bucketed by user."""
+    path = fresh_path(spark, "history")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    history = HistoryTable.write(_ruled(spark, folder), path, buckets=buckets)
+    return _rounded(
+        add_feature_columns(history.with_history()),
+        6, "distance_from_nairobi", "user_avg_amount", "amount_deviation", "time_since_last_txn",
+    ).select("event_id", *FEATURES)
+
+
+def profile_lookup_bucketed(spark, folder):
+    """Orders and customers in as many buckets of the customer each."""
+    path = fresh_path(spark, "orders")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    history = HistoryTable.write(orders_as_transactions(spark, folder), path, buckets=buckets)
+    profiles = write_bucketed(
+        read_table(spark, folder, "customer").select(
+            F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_nationkey"),
+        f"{history.name}_profiles", f"{path}/profiles", "user_id", ["user_id"], buckets)
+    return history.with_profiles(profiles, history.split_profiles(profiles)).select(
+        "event_id", "user_id", "amount", "c_mktsegment", "c_nationkey"
+    )
+
+
+def _daily(spark, folder) -> str:
+    path = fresh_path(spark, "daily")
+    write_daily(_ruled(spark, folder), f"{path}/rows")
+    return path
+
+
+def recent_transactions_daily(spark, folder):
+    """Recent transactions from a table partitioned by day."""
+    rows = read_daily(spark, f"{_daily(spark, folder)}/rows")
+    return recent_days(rows, AS_OF).select("event_id", "user_id", "amount", "transaction_timestamp")
+
+
+def hourly_metrics_month_end(spark, folder):
+    """Hourly totals of the days that a calendar table calls month end."""
+    path = _daily(spark, folder)
+    rows = read_daily(spark, f"{path}/rows")
+    write_calendar(rows, f"{path}/calendar")
+    calendar = spark.read.parquet(f"{path}/calendar").filter("day_of_month >= 25")
+    return _rounded(
+        metrics.hourly_metrics(on_days(rows, calendar)), 2, "total_volume", "avg_amount")
+
+
+def date_histogram_daily(spark, folder):
+    """The histogram of one week, from a table partitioned by day."""
+    rows = read_daily(spark, f"{_daily(spark, folder)}/rows")
+    return _rounded(metrics.date_histogram(recent_days(rows, AS_OF)), 2, "total_volume")
+
+
 # -- top-k, split, cuts --------------------------------------------------------------------
 
 
@@ -460,6 +525,16 @@ def contamination_cut_narrowed(spark, folder):
     return _cut(rows, exact_quantile(rows, "amount", 0.1, small=500))
 
 
+def contamination_cut_sketched(spark, folder):
+    """The same from stored sketches, one per day, and one scan that confirms it."""
+    path = fresh_path(spark, "sketches")
+    rows = transactions(spark, folder)
+    daily = rows.withColumn("day", F.to_date("transaction_timestamp"))
+    column_sketches(daily, "amount", "day").write.parquet(path)
+    bracket = bracket_from(spark.read.parquet(path), 0.1)
+    return _cut(rows, exact_quantile(rows, "amount", 0.1, small=500, bracket=bracket))
+
+
 # -- streams -------------------------------------------------------------------------------
 
 
@@ -510,6 +585,22 @@ def frequency_updates_result(spark, folder):
     })
 
 
+def frequency_state(spark, folder):
+    """The open windows that a stopped stream has left in its checkpoint, with their counts."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    path = fresh_path(spark, "state")
+    stream = frequency_stream(transaction_stream(session, folder), DAILY, watermark="400 days")
+    writer = stream.writeStream.outputMode("update").foreachBatch(
+        snapshot_writer(f"{path}/data")
+    )
+    start(writer, f"{path}/checkpoint", None, available_now=True).awaitTermination()
+    return open_windows(session, f"{path}/checkpoint").withColumns({
+        "window_start": F.col("window_start").cast("timestamp_ntz"),
+        "window_end": F.col("window_end").cast("timestamp_ntz"),
+    })
+
+
 def hourly_stream_result(spark, folder):
     return _rounded(
         _complete_result(spark, hourly_stream(transaction_stream(spark, folder)), "hourly"),
@@ -526,6 +617,18 @@ def causal_user_features(spark, folder):
     return _rounded(staged_features(spark, f"{path}/rows"), 6, "user_avg_so_far")
 
 
+def data_quality_stream(spark, folder):
+    """The quality report from the counters of the stream that writes the records."""
+    rules = quality.quality_rules(allowed_types=("purchase", "view", "click", "signup"))
+    path = fresh_path(spark, "observed")
+    rows = observed(wire_columns(transaction_stream(spark, folder)), rules)
+    query = start(
+        rows.writeStream.outputMode("append").format("parquet").option("path", f"{path}/data"),
+        f"{path}/checkpoint", None, available_now=True)
+    query.awaitTermination()
+    return StreamFigures().take(query).quality_report(spark).drop("query")
+
+
 def causal_user_features_stateful(spark, folder):
     """The same from the stream's own state: one run over the rows, and a second one, from its
     checkpoint, that a last heartbeat lets give out the rows still waiting."""
@@ -696,16 +799,24 @@ QUERIES: dict[str, Query] = {
     "recipient_features": recipient_features,
     "feature_table": feature_table,
     "scaled_features": scaled_features,
+    "feature_table_bucketed": feature_table_bucketed,
+    "profile_lookup_bucketed": profile_lookup_bucketed,
+    "recent_transactions_daily": recent_transactions_daily,
+    "hourly_metrics_month_end": hourly_metrics_month_end,
+    "date_histogram_daily": date_histogram_daily,
     "fraud_hotspots": fraud_hotspots,
     "alert_list": alert_list,
     "train_split": train_split,
     "retrain_decision": retrain_decision,
     "contamination_cut": contamination_cut,
     "contamination_cut_narrowed": contamination_cut_narrowed,
+    "contamination_cut_sketched": contamination_cut_sketched,
     "alert_stream": alert_stream_result,
     "frequency_stream": frequency_stream_result,
     "frequency_updates": frequency_updates_result,
+    "frequency_state": frequency_state,
     "hourly_stream": hourly_stream_result,
+    "data_quality_stream": data_quality_stream,
     "causal_user_features": causal_user_features,
     "causal_user_features_stateful": causal_user_features_stateful,
     "forest_nodes": forest_nodes,

@@ -154,6 +154,24 @@ FROM tx
 WINDOW so_far AS (PARTITION BY user_id ORDER BY transaction_timestamp, event_id
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 
+FEATURE_ROWS = """
+SELECT event_id, amount, hour_of_day, day_of_week, day_of_month,
+       round(distance_from_nairobi, 6) AS distance_from_nairobi, user_transaction_count,
+       round(user_avg_amount, 6) AS user_avg_amount,
+       round(amount_deviation, 6) AS amount_deviation,
+       round(time_since_last_txn, 6) AS time_since_last_txn,
+       is_weekend, is_business_hours, is_end_of_month FROM features"""
+
+PROFILES = """
+SELECT o_orderkey AS event_id, o_custkey AS user_id, CAST(o_totalprice AS double) AS amount,
+       c_mktsegment, c_nationkey
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
+
+IN_WEEK = "transaction_timestamp > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAYS"
+MONTH_END = "day(transaction_timestamp) >= 25"
+RECENT = f"""
+SELECT event_id, user_id, amount, transaction_timestamp FROM tx WHERE {IN_WEEK}"""
+
 REASONS = """
   concat_ws(';',
     CASE WHEN amount > 10000 THEN 'High amount transaction' END,
@@ -318,7 +336,7 @@ def oracle_sql() -> dict[str, str]:
     )
     histogram_mean = "(avg(doc_count) OVER ())"
     expected = f"{histogram_mean} * " + MULTIPLIER.format(ts="hour_start")
-    return {
+    found = {
         "json_parse": _with(TX, f"""
 SELECT user_id, amount, {WIRE_TIME} AS timestamp, type, latitude, longitude,
        transaction_timestamp FROM tx"""),
@@ -358,9 +376,14 @@ SELECT event_id, round({MULTIPLIER.format(ts='ts')}, 6) AS multiplier FROM event
         "alert_reasons": _with(HISTORY, f"""
 SELECT event_id, {REASONS.format(rapid='time_since_last_txn < 1')} AS reasons,
        {REASONS.format(rapid='gap_seconds < 3600')} AS history_reasons FROM features"""),
-        "recent_transactions": _with(TX, """
-SELECT event_id, user_id, amount, transaction_timestamp FROM tx
-WHERE transaction_timestamp > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAYS"""),
+        "recent_transactions": _with(TX, RECENT),
+        "recent_transactions_daily": _with(TX, RECENT),
+        "hourly_metrics_month_end": _with(
+            HOURLY.replace("FROM ruled GROUP", f"FROM ruled WHERE {MONTH_END} GROUP"),
+            HOURLY_ROWS),
+        "date_histogram_daily": _with(
+            HISTOGRAM.replace("FROM tx GROUP", f"FROM tx WHERE {IN_WEEK} GROUP"), """
+SELECT hour_start, doc_count, round(total_volume, 2) AS total_volume FROM histogram"""),
         "document_search": _with(RULED, """
 SELECT CAST(event_id AS varchar) AS doc_id, user_id, amount, is_high_amount,
        'flagged_transaction' AS document_type
@@ -380,10 +403,8 @@ USING (user_id)"""),
 SELECT event_id, 'high_amount' AS rule_id, amount > 10000 AS fired FROM ruled
 UNION ALL SELECT event_id, 'very_high_amount', amount > 30000 FROM ruled
 UNION ALL SELECT event_id, 'location_outlier', distance_from_nairobi > 50 FROM ruled"""),
-        "profile_lookup": """
-SELECT o_orderkey AS event_id, o_custkey AS user_id, CAST(o_totalprice AS double) AS amount,
-       c_mktsegment, c_nationkey
-FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
+        "profile_lookup": PROFILES,
+        "profile_lookup_bucketed": PROFILES,
         "user_window_counts": _with(WINDOWS, "SELECT * FROM windows"),
         "user_frequency": _with(WINDOWS, """
 SELECT *, true AS is_high_frequency FROM windows WHERE transaction_count > 5"""),
@@ -459,13 +480,8 @@ pairs AS (
   SELECT event_id, recipient_id,
          count(*) OVER (PARTITION BY user_id, recipient_id) AS recipient_frequency FROM tx)""", """
 SELECT *, CASE WHEN recipient_frequency = 1 THEN 1 ELSE 0 END AS is_new_recipient FROM pairs"""),
-        "feature_table": _with(HISTORY, """
-SELECT event_id, amount, hour_of_day, day_of_week, day_of_month,
-       round(distance_from_nairobi, 6) AS distance_from_nairobi, user_transaction_count,
-       round(user_avg_amount, 6) AS user_avg_amount,
-       round(amount_deviation, 6) AS amount_deviation,
-       round(time_since_last_txn, 6) AS time_since_last_txn,
-       is_weekend, is_business_hours, is_end_of_month FROM features"""),
+        "feature_table": _with(HISTORY, FEATURE_ROWS),
+        "feature_table_bucketed": _with(HISTORY, FEATURE_ROWS),
         "scaled_features": _with(
             HISTORY,
             "SELECT event_id, " + ", ".join(map(_scaled, FEATURE_NAMES)) + " FROM features",
@@ -543,7 +559,12 @@ SELECT event_id, user_id, amount, {RULE_COLUMNS} FROM ruled WHERE is_flagged""")
 SELECT *, true AS is_high_frequency FROM windows WHERE transaction_count > 5"""),
         "frequency_updates": _with(WINDOWS, """
 SELECT *, true AS is_high_frequency FROM windows WHERE transaction_count > 5"""),
+        "frequency_state": _with(WINDOWS, "SELECT * FROM windows"),
         "hourly_stream": _with(HOURLY, HOURLY_ROWS),
         "causal_user_features": _with(TX, CAUSAL),
         "causal_user_features_stateful": _with(TX, CAUSAL),
     }
+    return found | {
+        "data_quality_stream": found["data_quality"],
+        "contamination_cut_sketched": found["contamination_cut"],
+    }

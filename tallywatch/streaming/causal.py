@@ -176,11 +176,10 @@ def late_rows(spark: SparkSession, root: str, delay_seconds: int) -> DataFrame:
     others, and change those of rows after them that were read earlier."""
     rows = spark.read.parquet(root)
     second = epoch_seconds(F.col(TIME).cast("timestamp"))
-    latest = rows.groupBy("batch_id").agg(F.max(second).alias("second"))
-    listed = latest.agg(F.collect_list(F.struct("batch_id", "second"))).scalar()
-    before = F.array_max(F.transform(
-        F.filter("_batches", lambda b: b["batch_id"] < F.col("batch_id")), lambda b: b["second"]
-    ))
-    behind = before - second - F.lit(delay_seconds)
-    return rows.withColumn("_batches", listed).withColumn("seconds_late", behind).drop(
-        "_batches").filter(F.col("seconds_late") > 0)
+    # one row per batch, so one task may see all of them
+    earlier = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("batch_id").agg(F.max(second).alias("_latest")).select(
+        F.col("batch_id").alias("_batch"), F.max("_latest").over(earlier).alias("_before"))
+    behind = F.col("_before") - second - F.lit(delay_seconds)
+    return rows.join(before, rows["batch_id"] == before["_batch"]).withColumn(
+        "seconds_late", behind).drop("_batch", "_before").filter(F.col("seconds_late") > 0)

@@ -107,6 +107,19 @@ def read_changes(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFra
     ).select(*keys, "newest.*")
 
 
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What a frequency stream holds in its state as of its last batch: every open window of
+    every user with its count, whether above the limit or not. Reads the checkpoint of a stopped
+    or running stream; nothing is replayed. The session must use the stream's state store."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        F.col("key.window.start").alias("window_start"),
+        F.col("key.window.end").alias("window_end"),
+        F.col("key.user_id").alias("user_id"),
+        F.col("value.count").alias("transaction_count"),
+    )
+
+
 def start_console(
     parsed: DataFrame,
     checkpoint: str,

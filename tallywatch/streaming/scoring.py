@@ -108,9 +108,16 @@ def scoring_batch_writer(
     write: BatchWriter,
     config: RiskConfig = DEFAULT_CONFIG,
     policy: SkewPolicy = DEFAULT_POLICY,
+    follow: bool = False,
 ) -> BatchWriter:
-    """``foreachBatch`` function: rules, features, score and enhanced flag, then ``write``."""
+    """``foreachBatch`` function: rules, features, score and enhanced flag, then ``write``.
+
+    With ``follow`` every batch begins with a look at the model's folder, and is scored as a
+    whole by the version that is current then.
+    """
     def score_batch(batch: DataFrame, batch_id: int) -> None:
+        if follow:
+            model.refresh(batch.sparkSession)
         features = features_with_profiles(
             apply_rules(batch, config), profiles, model.row_id, policy
         )

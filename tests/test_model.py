@@ -341,5 +341,28 @@ def test_every_rank_is_a_real_value(spark, n, step):
     df.unpersist()
 
 
+@pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.77, 1.0])
+def test_quantile_from_merged_sketches(spark, q):
+    rng = np.random.default_rng(8)
+    values = np.concatenate([np.exp(rng.normal(0, 9, 4000)), np.full(1500, 2.5)])
+    df = spark.createDataFrame(
+        [(i % 7, float(v)) for i, v in enumerate(values)] + [(3, None), (9, None)],
+        "day int, x double").cache()
+    bracket = quantile.bracket_from(quantile.column_sketches(df, "x", "day"), q)
+    assert bracket[0] == len(values) and bracket[1] <= np.quantile(values, q) <= bracket[2]
+    expected = pytest.approx(float(np.quantile(values, q)), rel=1e-12)
+    assert quantile.exact_quantile(df, "x", q, small=40, bracket=bracket) == expected
+    # a bracket that misses the rank costs time, not the result
+    for low, high in ((-5.0, -4.0), (1e300, 1e301), (2.5, 2.5)):
+        wrong = (len(values), low, high)
+        assert quantile.exact_quantile(df, "x", q, small=40, bracket=wrong) == expected
+    df.unpersist()
+
+
+def test_sketches_of_nothing(spark):
+    empty = spark.createDataFrame([(1, None)], "day int, x double")
+    assert quantile.bracket_from(quantile.column_sketches(empty, "x", "day"), 0.5) is None
+
+
 def test_quantile_of_nothing(spark):
     assert quantile.exact_quantile(spark.createDataFrame([], "x double"), "x", 0.1) is None
