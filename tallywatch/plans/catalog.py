@@ -47,6 +47,7 @@ from tallywatch.plans.tables import (
 )
 from tallywatch.schema import DEFAULT_CONFIG, FEATURES
 from tallywatch.session import STATE_STORE, fresh_path, ship_package
+from tallywatch.sinks.committed import read_documents, stream_documents
 from tallywatch.sinks.documents import flagged_documents, hourly_documents
 from tallywatch.sinks.records import append_jsonl, keyed_records
 from tallywatch.sources.files import read_jsonl, read_lookup_table
@@ -151,7 +152,19 @@ def feature_backfill(spark, folder):
 
 
 def flagged_docs(spark, folder):
-    documents = flagged_documents(flagged(_ruled(spark, folder)), "event_id")
+    return _flat(flagged_documents(flagged(_ruled(spark, folder)), "event_id"))
+
+
+def flagged_docs_committed(spark, folder):
+    """The same from the stream sink that commits batches."""
+    path = fresh_path(spark, "documents")
+    stream = flagged_documents(alert_stream(transaction_stream(spark, folder)), "event_id")
+    writer = stream_documents(stream, f"{path}/data")
+    start(writer, f"{path}/checkpoint", None, available_now=True).awaitTermination()
+    return _flat(read_documents(spark, f"{path}/data", stream.schema))
+
+
+def _flat(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("_id").alias("doc_id"), "user_id", "amount", "transaction_timestamp",
         F.col("location.lat").alias("location_lat"), F.col("location.lon").alias("location_lon"),
@@ -760,6 +773,7 @@ QUERIES: dict[str, Query] = {
     "geo_mask": geo_mask,
     "feature_backfill": feature_backfill,
     "flagged_documents": flagged_docs,
+    "flagged_documents_committed": flagged_docs_committed,
     "hourly_documents": hourly_docs,
     "haversine_distance": haversine_distance,
     "rule_flags": rule_flags,

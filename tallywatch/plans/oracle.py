@@ -567,4 +567,5 @@ SELECT *, true AS is_high_frequency FROM windows WHERE transaction_count > 5""")
     return found | {
         "data_quality_stream": found["data_quality"],
         "contamination_cut_sketched": found["contamination_cut"],
+        "flagged_documents_committed": found["flagged_documents"],
     }
