@@ -61,8 +61,14 @@ SITE_WORDS = frozenset(
     "skiplink".split())
 HIDDEN_NAMES = frozenset(["hidden", "is-hidden", "visually-hidden"])
 """Whole class names; as a part the word is ambiguous (overflow-hidden)."""
-MODIFIERS = frozenset("has no with without not non hide show".split())
-"""Parts of names that only speak about a site part elsewhere (has-sidebar, no-ads)."""
+PLAIN_WORDS = frozenset(
+    "area bar block body bottom box btn button buttons card cards center col column container "
+    "content desktop fixed floating grid group holder icon icons inline inner item items js "
+    "layer left link links list main mobile module outer page panel placeholder post posts "
+    "primary right row secondary section site slot space sticky strip tab tabs title top unit "
+    "wrap wrapper zone".split())
+"""Words that only say where or how: a name of a site word and these is the site's, while one
+with any other word (social-science, login-flow, has-sidebar) is not."""
 OUTSIDE_WORDS = frozenset(["header", "topbar"])
 """Words that mark site parts only outside an article."""
 SAME_PAGE = 0.9
@@ -78,49 +84,79 @@ class Line:
     region: int
 
 
-def name_parts(value: str) -> set[str]:
-    """Parts of the class names of a value, but of names that speak about other elements."""
-    found = set()
-    for name in value.split():
-        parts = set(re.split(r"[^a-z0-9]+", name))
-        if not parts & MODIFIERS:
-            found |= parts
-    return found
+def names_site_part(name: str, words: frozenset[str] = SITE_WORDS) -> bool:
+    """Whether a class name or id consists of site words and plain ones."""
+    parts = [part for part in re.split(r"[^a-z0-9]+", name) if part.strip("0123456789x")]
+    return any(part in words for part in parts) and all(
+        part in words or part in SITE_WORDS or part in PLAIN_WORDS for part in parts)
 
 
 def region_of(name: str, rest: str, around: int) -> int:
-    """Region that an element opens inside a region. Nothing leaves a site region but an
-    article or main element, which cannot be part of one."""
-    words, role, hidden = frozenset(), "", False
+    """Region that an element opens inside a region. Nothing leaves a site region. An article or
+    main element is the site's by a whole class name only, not by parts of one."""
+    names, role, hidden = [], "", False
     if rest.strip(" /"):
         for key, *values in ATTRIBUTE.findall(rest):
             value = "".join(values).lower()
             key = key.lower()
             if key in ("class", "id"):
-                words |= name_parts(value)
-                hidden |= not HIDDEN_NAMES.isdisjoint(value.split())
+                names += value.split()
             elif key == "role":
                 role = value.strip()
             elif key == "style":
                 hidden |= bool(HIDDEN.search(value))
             elif key == "hidden" or key == "aria-hidden" and value == "true":
                 hidden = True
-    if hidden or words & SITE_WORDS or role in SITE_ROLES:
+    if hidden or role in SITE_ROLES or not HIDDEN_NAMES.isdisjoint(names) or around == SITE:
         return SITE
-    if around != CONTENT and (name == "header" or words & OUTSIDE_WORDS):
+    if name in CONTENT_TAGS or role in CONTENT_ROLES:
+        return CONTENT if SITE_WORDS.isdisjoint(names) else SITE
+    if name in SITE_TAGS or any(map(names_site_part, names)):
         return SITE
-    if name in SITE_TAGS:
+    if around != CONTENT and (
+            name == "header" or any(names_site_part(n, OUTSIDE_WORDS) for n in names)):
         return SITE
-    if name in CONTENT_TAGS or role in CONTENT_ROLES:
-        return CONTENT
     return around
 
 
+def closed_elements(page: str) -> set[int]:
+    """Where the elements begin that an end tag of their own closes."""
+    closed: set[int] = set()
+    stack: list[tuple[str, int]] = []
+    for found in PIECE.finditer(page):
+        name = (found["name"] or "").lower()
+        if not name or name in VOID:
+            continue
+        if not found["end"]:
+            stack.append((name, found.start()))
+            continue
+        for at in range(len(stack) - 1, -1, -1):
+            if stack[at][0] == name:
+                closed.add(stack[at][1])
+                del stack[at:]
+                break
+    return closed
+
+
 def page_lines(page: str) -> list[Line]:
-    """Text lines of a page in order, without markup and blank lines."""
+    """Text lines of a page in order, without markup and blank lines.
+
+    An article in a site part is part of it, such as a reader's comment or a card, unless the
+    site part was never closed. If that leaves the page without any text of its own, articles
+    count wherever they stand.
+    """
+    lines = lines_of(page, False)
+    if lines and all(line.region == SITE for line in lines):
+        return lines_of(page, True)
+    return lines
+
+
+def lines_of(page: str, everywhere: bool) -> list[Line]:
+    """The lines; ``everywhere``: articles leave site parts that are closed, too."""
+    closed: set[int] | None = None
     lines: list[Line] = []
     words: list[str] = []
-    stack: list[tuple[str, int]] = []
+    stack: list[tuple[str, int, int]] = []
     region = NEUTRAL
 
     def close_line() -> None:
@@ -161,11 +197,19 @@ def page_lines(page: str) -> list[Line]:
             pop(ENDED_BY_BLOCK)
         if name in REPEATING and stack and stack[-1][0] == name:
             pop(name)
-        inside = region_of(name, found["rest"] or "", region)
+        rest = found["rest"] or ""
+        inside = region_of(name, rest, region)
+        if region == SITE and region_of(name, rest, NEUTRAL) == CONTENT:
+            # the element that opened the site part
+            opener = next(begin for _, kind, begin in stack if kind == SITE)
+            if not everywhere and closed is None:
+                closed = closed_elements(page)
+            if everywhere or opener not in closed:
+                inside = CONTENT
         if inside != region:
             close_line()
         region = inside
-        stack.append((name, region))
+        stack.append((name, region, found.start()))
     words.append(page[at:])
     close_line()
     return lines
