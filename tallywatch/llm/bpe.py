@@ -34,6 +34,8 @@ CHUNK = 24_000_000
 LONG_WORD = 48
 QUERY_WORDS = 50_000
 """Words of one recursive query, which keeps the rows of all its steps."""
+DECODED_TOKENS = 500_000
+"""Tokens that one query decodes; a longer text is decoded alone."""
 
 ENCODE = """
 WITH RECURSIVE step(place, token, done) AS (
@@ -110,7 +112,6 @@ class Codec:
             "token": pa.array(list(ranks.values()), pa.int32()),
             "hex": pa.array([t.hex() for t in ranks]),
         })
-        self.words: dict[str, tuple[list[int], bytes]] = {}
 
     def _load(self, name: str, columns: dict[str, pa.Array]) -> None:
         self.db.register("loaded", pa.table(columns))
@@ -194,8 +195,6 @@ class UnitCache:
         self.words: dict[str, object] = {}
         self.units: dict[str, object] = {}
         self.firsts: dict[str, object] = {}
-        #: words whose decoded bytes are not their own; others need not be kept twice
-        self.odd: dict[str, bytes] = {}
 
     def split(self, unit: str) -> list[str]:
         return [unit] if unit.isalpha() else self.codec.pattern.findall(unit)
@@ -207,17 +206,14 @@ class UnitCache:
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.words]
-        raw = [w.encode() for w in new]
-        coded = self.codec.code(raw)
-        decoded = self.codec.decode(coded)
-        self.odd.update((w, d) for w, r, d in zip(new, raw, decoded) if r != d)
+        coded = self.codec.code([w.encode() for w in new])
         if self.as_text:
             coded = pc.binary_join(coded.cast(pa.list_(pa.string())), ",")
         self.words.update(zip(new, coded.to_pylist()))
 
     def fill(self, texts: list[tuple[str, list[str]]]) -> None:
         if len(self.units) + len(self.firsts) > KNOWN_UNITS:
-            for memory in (self.words, self.units, self.firsts, self.odd):
+            for memory in (self.words, self.units, self.firsts):
                 memory.clear()
         rest = set().union(*[rest for _, rest in texts]).difference(self.units)
         # a letter run after a space is one word of the split pattern
@@ -237,12 +233,18 @@ class UnitCache:
             return self.merge([])
         return self.merge([self.firsts[first], *map(self.units.__getitem__, rest)])
 
-    def decoded(self, text: str) -> bytes:
-        """Bytes that the text's ids decode to."""
-        if not self.odd:
-            return text.encode()
-        words = self.codec.pattern.findall(text)
-        return b"".join(self.odd[w] if w in self.odd else w.encode() for w in words)
+
+def decode_lists(codec: Codec, lists: list[np.ndarray]) -> Iterator[bytes]:
+    """Bytes of every id list, as many lists at a time as have DECODED_TOKENS together."""
+    begin, size = 0, 0
+    for end, ids in enumerate([*lists, None]):
+        if begin < end and (ids is None or size + len(ids) > DECODED_TOKENS):
+            block = lists[begin:end]
+            ends = np.cumsum([0, *map(len, block)]).astype(np.int32)
+            yield from codec.decode(pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(np.concatenate(block).astype(np.int32))))
+            begin, size = end, 0
+        size += 0 if ids is None else len(ids)
 
 
 _caches: dict[tuple, UnitCache] = {}
@@ -272,7 +274,7 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
 
 def _encoded(docs: DataFrame, path: str, pattern: str, as_text: bool, finish: Callable,
              added: str) -> DataFrame:
-    """Columns of ``docs`` but ``text``, then what ``finish`` makes of a text and its ids.
+    """Columns of ``docs`` but ``text``, then what ``finish`` makes of the ids of some texts.
     Columns with the name of an added one are replaced."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))  # one vocabulary
     extra = StructType.fromDDL(added)
@@ -287,7 +289,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, as_text: bool, finish: Ca
             for part in chunks([t or "" for t in batch.column("text").to_pylist()]):
                 split = [units_of(text) for text in part]
                 known.fill(split)
-                rows += [finish(known, t, known.coded(units)) for t, units in zip(part, split)]
+                rows += finish(known.codec, [known.coded(units) for units in split])
             return replace_columns(batch, ["text"], **{
                 f.name: pa.array(c, f.type)
                 for f, c in zip(to_arrow_schema(extra), zip(*rows))
@@ -302,7 +304,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Columns of ``docs`` but ``text``, then ``ids``: the token ids of the whole text, in
     order, without special tokens. Null and empty texts have none."""
     return _encoded(
-        docs, path, pattern, False, lambda known, text, ids: (ids,), "ids array<int>")
+        docs, path, pattern, False, lambda codec, coded: [(ids,) for ids in coded],
+        "ids array<int>")
 
 
 def decode_documents(coded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -328,11 +331,13 @@ def digest_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Columns of ``docs`` but ``text``, then ``n_tokens`` and the SHA-256 of the ids
     (decimal, joined by commas) and of the bytes that they decode to."""
 
-    def finish(known: UnitCache, text: str, ids: str) -> tuple[int, str, str]:
-        return (
-            ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
-            hashlib.sha256(known.decoded(text)).hexdigest(),
-        )
+    def finish(codec: Codec, coded: list[str]) -> list[tuple[int, str, str]]:
+        lists = [np.fromstring(ids, np.int32, sep=",") if ids else np.empty(0, np.int32)
+                 for ids in coded]
+        return [
+            (len(found), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(raw).hexdigest())
+            for found, ids, raw in zip(lists, coded, decode_lists(codec, lists))
+        ]
 
     return _encoded(docs, path, pattern, True, finish,
                     "n_tokens long, ids_sha256 string, decoded_sha256 string")
