@@ -598,10 +598,19 @@ def frequency_updates_result(spark, folder):
     })
 
 
-def frequency_state(spark, folder):
-    """The open windows that a stopped stream has left in its checkpoint, with their counts."""
+def _state_session(spark: SparkSession) -> SparkSession:
+    """A session with state in RocksDB, and as many partitions as the given one: each holds a
+    store of its own."""
     session = spark.newSession()
+    partitions = "spark.sql.shuffle.partitions"
+    session.conf.set(partitions, spark.conf.get(partitions))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return session
+
+
+def frequency_state(spark, folder):
+    """The open windows that a stopped stream has left in its checkpoint, with their counts."""
+    session = _state_session(spark)
     path = fresh_path(spark, "state")
     stream = frequency_stream(transaction_stream(session, folder), DAILY, watermark="400 days")
     writer = stream.writeStream.outputMode("update").foreachBatch(
@@ -645,8 +654,7 @@ def data_quality_stream(spark, folder):
 def causal_user_features_stateful(spark, folder):
     """The same from the stream's own state: one run over the rows, and a second one, from its
     checkpoint, that a last heartbeat lets give out the rows still waiting."""
-    session = spark.newSession()
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    session = _state_session(spark)
     path = fresh_path(spark, "stateful")
     write_heartbeat(session, f"{path}/beats")
 
