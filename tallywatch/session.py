@@ -74,16 +74,26 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def remove_tables(spark: SparkSession) -> None:
-    """Delete the folders that this session has made below the shared folder.
+def made_tables(spark: SparkSession) -> list[str]:
+    """The folders that this session has made below the shared folder and not removed."""
+    return list(_made.get(spark.sparkContext.applicationId, []))
+
+
+def remove_tables(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete the folders that this session has made below the shared folder, or those of them
+    that ``paths`` names.
 
     Results that still read from them must have been written or collected before.
     """
     jvm = spark.sparkContext._jvm
     settings = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _made.pop(spark.sparkContext.applicationId, []):
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(settings).delete(folder, True)
+    made = made_tables(spark)
+    gone = set(made if paths is None else paths)
+    _made[spark.sparkContext.applicationId] = [path for path in made if path not in gone]
+    for path in made:
+        if path in gone:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(settings).delete(folder, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
