@@ -10,6 +10,9 @@ scan over the buckets of first bytes. Neighbours in the array whose common prefi
 
 Equal texts, and equal contexts, are compared once. A mark that very many different contexts
 share is compared string by string instead, so no task holds all of its contexts.
+
+Passages of ``PASSAGE_WORDS`` equal words go the same way: their marks are the smallest hashed
+word grams, and their suffix arrays hold one number for each word.
 """
 
 from __future__ import annotations
@@ -22,10 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import map_batches, mix64, prepare, stored, table, text_or_empty
+from tallywatch.llm.common import (
+    map_batches, mix64, prepare, stored, table, text_or_empty, window_hashes,
+)
 
 LENGTH = 400
 GRAM = 64
+PASSAGE_WORDS = 51
+"""Words of the shortest repeated passage, whatever its bytes."""
+GRAM_WORDS = 12
+WORD_BYTES = 4
+"""Bytes of a word's number in a suffix array of words."""
 BLOCK_BYTES = 400_000
 """Context bytes of one suffix array; a mark is never cut, so one mark may exceed it."""
 HOT_BYTES = 6_000_000
@@ -51,13 +61,20 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def gram_hashes(codes: np.ndarray) -> np.ndarray:
-    """Mixed hash of every GRAM consecutive bytes, from prefix sums modulo 2**64."""
-    n = len(codes) - GRAM + 1
+def prefix_sums(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the weighted bytes before each place, and the factors that undo the weights."""
     up, down = _power_table(len(codes))
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[:len(codes)], out=sums[1:])
-    return mix64((sums[GRAM:] - sums[:n]) * down[:n])
+    return sums, down
+
+
+def word_edges(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin and end."""
+    space = np.ones(len(codes) + 2, np.int8)
+    space[1:-1] = (codes == 32) | ((codes >= 9) & (codes <= 13))
+    edges = np.flatnonzero(np.diff(space))
+    return edges[::2], edges[1::2]
 
 
 def sliding(values: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.ndarray:
@@ -73,20 +90,14 @@ def sliding(values: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.nda
     return pick(behind[:n], ahead[width - 1:width - 1 + n])
 
 
-def marked_runs(raw: bytes, length: int = LENGTH):
-    """(mark, first start, end of starts, several) of the runs of starts in a text.
+def least_runs(hashes: np.ndarray, width: int):
+    """(mark, first window, end of windows, several) of the runs of windows of ``width`` hashes
+    that share their smallest one.
 
     ``several``: the smallest gram occurs more than once in the text, so that strings of one
     run may repeat each other.
     """
-    empty = np.empty(0, np.int64)
-    if len(raw) < length:
-        return np.empty(0, np.uint64), empty, empty, np.empty(0, bool)
-    codes = np.frombuffer(raw, np.uint8)
-    hashes = gram_hashes(codes)
-    width = length - GRAM + 1
-    top = np.iinfo(np.uint64).max
-    least = sliding(hashes, width, np.minimum, int(top))
+    least = sliding(hashes, width, np.minimum, int(np.iinfo(np.uint64).max))
     begin = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
     end = np.append(begin[1:], len(least))
     # a gram is smallest somewhere if the largest minimum of the windows around it is its own
@@ -97,6 +108,28 @@ def marked_runs(raw: bytes, length: int = LENGTH):
     return marks, begin, end, np.isin(marks, found[times > 1])
 
 
+def marked_runs(raw: bytes, length: int = LENGTH, words: int = 0):
+    """(mark, begin, end, several) of the contexts of a text, in bytes.
+
+    The lowest bit of a mark is set for contexts of passages of so many ``words``.
+    """
+    codes = np.frombuffer(raw, np.uint8)
+    sums, down = prefix_sums(codes)
+    parts = [(np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 2, np.empty(0, bool))]
+    if len(raw) >= length:
+        n = len(codes) - GRAM + 1
+        grams = mix64((sums[GRAM:] - sums[:n]) * down[:n])
+        marks, begin, end, several = least_runs(grams, length - GRAM + 1)
+        parts.append((marks & ~np.uint64(1), begin, end + length - 1, several))
+    if words:
+        first, last = word_edges(codes)
+        if len(first) >= words:
+            grams = window_hashes(mix64((sums[last] - sums[first]) * down[first]), GRAM_WORDS)
+            marks, begin, end, several = least_runs(grams, words - GRAM_WORDS + 1)
+            parts.append((marks | np.uint64(1), first[begin], last[end + words - 2], several))
+    return tuple(map(np.concatenate, zip(*parts)))
+
+
 # --- suffix arrays --------------------------------------------------------------------
 
 
@@ -194,20 +227,41 @@ def prefixes_reach(text: bytes, left: np.ndarray, right: np.ndarray, length: int
     return out
 
 
-def repeated_starts(contexts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each context, which of its starts begin a string that another start begins too."""
+def repeated_starts(
+    contexts: list[bytes], length: int = LENGTH, step: int = 1,
+) -> list[np.ndarray]:
+    """For each context, which of its starts begin a string that another start begins too.
+    Strings start at every ``step``-th byte."""
     text = SEPARATOR.join(contexts) + SEPARATOR
     codes = np.frombuffer(text, np.uint8)
     offsets = np.cumsum([0] + [len(c) + 1 for c in contexts[:-1]])
     wanted = np.zeros(len(codes), bool)
     for offset, context in zip(offsets, contexts):
-        wanted[offset:offset + len(context) - length + 1] = True
+        wanted[offset:offset + len(context) - length + 1:step] = True
     order = two_stage_order(text, codes, wanted, length)
     equal = prefixes_reach(text, order[:-1], order[1:], length)
     repeated = np.zeros(len(codes), bool)
     repeated[order[:-1][equal]] = True
     repeated[order[1:][equal]] = True
-    return [repeated[o:o + len(c) - length + 1] for o, c in zip(offsets, contexts)]
+    return [repeated[o:o + len(c) - length + 1:step] for o, c in zip(offsets, contexts)]
+
+
+def repeated_passages(contexts: list[bytes], words: int) -> list[np.ndarray]:
+    """For each context, which of its words begin ``words`` words that stand elsewhere too."""
+    numbers: dict[bytes, int] = {}
+    coded = [
+        np.array([numbers.setdefault(w, len(numbers)) for w in context.split()], "<u4").tobytes()
+        for context in contexts]
+    return repeated_starts(coded, words * WORD_BYTES, WORD_BYTES)
+
+
+def windows(context: bytes, mark: int, length: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of every string of a context that is compared."""
+    if mark & 1:
+        first, last = word_edges(np.frombuffer(context, np.uint8))
+        return first[:len(first) - words + 1], last[words - 1:]
+    first = np.arange(len(context) - length + 1)
+    return first, first + length
 
 
 def runs_of(flags: np.ndarray) -> tuple[list[int], list[int]]:
@@ -219,7 +273,7 @@ def runs_of(flags: np.ndarray) -> tuple[list[int], list[int]]:
 # --- Spark ----------------------------------------------------------------------------
 
 
-def text_marks(keyed: DataFrame, length: int) -> DataFrame:
+def text_marks(keyed: DataFrame, length: int, words: int) -> DataFrame:
     """(text_key, n_bytes, sha256, runs) of each row; runs are (mark, begin, end, several)."""
     run = pa.list_(pa.struct([
         ("mark", pa.int64()), ("begin", pa.int32()), ("end", pa.int32()), ("several", pa.bool_())]))
@@ -230,7 +284,7 @@ def text_marks(keyed: DataFrame, length: int) -> DataFrame:
             sizes, digests, runs = [], [], []
             for value in batch.column("text").to_pylist():
                 raw = value.encode()
-                marks, begin, end, several = marked_runs(raw, length)
+                marks, begin, end, several = marked_runs(raw, length, words)
                 sizes.append(len(raw))
                 digests.append(hashlib.sha256(raw).hexdigest())
                 runs.append(pa.StructArray.from_arrays([
@@ -253,7 +307,7 @@ def text_marks(keyed: DataFrame, length: int) -> DataFrame:
     return map_batches(keyed, make, schema)
 
 
-def cut_contexts(texts: DataFrame, length: int) -> DataFrame:
+def cut_contexts(texts: DataFrame) -> DataFrame:
     """(mark, context_key, context, text_key, begin) from (text_key, text, runs)."""
 
     def make():
@@ -263,7 +317,7 @@ def cut_contexts(texts: DataFrame, length: int) -> DataFrame:
                     batch.column(c).to_pylist() for c in ("text_key", "text", "runs"))):
                 raw = text.encode()
                 for r in runs:
-                    context = raw[r["begin"]:r["end"] + length - 1]
+                    context = raw[r["begin"]:r["end"]]
                     rows.append((r["mark"], hashlib.md5(context).digest(), context, key, r["begin"]))
             types = [pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.int32()]
             columns = list(zip(*rows)) or [[]] * 5
@@ -280,8 +334,8 @@ def cut_contexts(texts: DataFrame, length: int) -> DataFrame:
 FLAGGED = "mark long, context_key binary, starts array<int>, ends array<int>"
 
 
-def compare_contexts(contexts: DataFrame, length: int) -> DataFrame:
-    """(mark, context_key, starts, ends): runs of repeated starts in each context.
+def compare_contexts(contexts: DataFrame, length: int, words: int) -> DataFrame:
+    """(mark, context_key, starts, ends): runs of repeated strings in each context, in bytes.
 
     ``contexts`` has one row (mark, context_key, context, n) per different context; all of a
     mark are in one task, which takes blocks of whole marks.
@@ -291,16 +345,19 @@ def compare_contexts(contexts: DataFrame, length: int) -> DataFrame:
     def flag(block: list[list[tuple]]) -> Iterator[tuple]:
         """Rows of a block of marks; a mark with one context that occurs often needs no array."""
         open_ = [row for mark in block for row in mark if len(mark) > 1 or row[3] == 1]
-        found = dict(zip(
-            [row[:2] for row in open_], repeated_starts([row[2] for row in open_], length),
-        )) if open_ else {}
+        found = {}
+        for kind, compare, size in (0, repeated_starts, length), (1, repeated_passages, words):
+            rows = [row for row in open_ if row[0] & 1 == kind]
+            if rows:
+                found.update(zip(
+                    [row[:2] for row in rows], compare([row[2] for row in rows], size)))
         for mark in block:
             for number, key, context, n in mark:
-                flags = (np.ones(len(context) - length + 1, bool) if n > 1
-                         else found[(number, key)])
-                starts, ends = runs_of(flags)
+                first, last = windows(context, number, length, words)
+                starts, ends = runs_of(
+                    np.ones(len(first), bool) if n > 1 else found[(number, key)])
                 if starts:
-                    yield number, key, starts, ends
+                    yield number, key, first[starts].tolist(), last[np.array(ends) - 1].tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: list[list[tuple]] = []
@@ -330,7 +387,7 @@ def compare_contexts(contexts: DataFrame, length: int) -> DataFrame:
     return spread.select("mark", "context_key", "context", "n").mapInArrow(run, FLAGGED)
 
 
-def compare_strings(contexts: DataFrame, length: int) -> DataFrame:
+def compare_strings(contexts: DataFrame, length: int, words: int) -> DataFrame:
     """The same for marks with very many contexts: every string is counted by its digest."""
 
     def make():
@@ -338,45 +395,47 @@ def compare_strings(contexts: DataFrame, length: int) -> DataFrame:
             rows = []
             for mark, key, context, n in zip(*(
                     batch.column(c).to_pylist() for c in ("mark", "context_key", "context", "n"))):
-                rows += [
-                    (mark, key, i, hashlib.md5(context[i:i + length]).digest(), n)
-                    for i in range(len(context) - length + 1)]
-            types = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int64()]
+                for i, j in zip(*(x.tolist() for x in windows(context, mark, length, words))):
+                    string = b" ".join(context[i:j].split()) if mark & 1 else context[i:j]
+                    rows.append((mark, key, i, j, hashlib.md5(string).digest(), n))
+            types = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(list(zip(*rows)), types)],
-                ["mark", "context_key", "start", "string", "n"])
+                ["mark", "context_key", "start", "end", "string", "n"])
 
         return step
 
     strings = map_batches(
         contexts.select("mark", "context_key", "context", "n"), make,
-        "mark long, context_key binary, start int, string binary, n long")
-    often = strings.groupBy("string").agg(F.sum("n").alias("n")).filter("n > 1").select("string")
-    hits = strings.select("mark", "context_key", "start", "string").join(often, "string")
-    starts = F.sort_array(F.collect_set("start"))
-    return hits.groupBy("mark", "context_key").agg(starts.alias("starts")).withColumn(
-        "ends", F.transform("starts", lambda s: s + 1))
+        "mark long, context_key binary, start int, end int, string binary, n long")
+    often = strings.groupBy("mark", "string").agg(F.sum("n").alias("n")).filter("n > 1")
+    hits = strings.drop("n").join(often.drop("n"), ["mark", "string"])
+    spans = hits.groupBy("mark", "context_key").agg(
+        F.collect_set(F.struct("start", "end")).alias("spans"))
+    return spans.select(
+        "mark", "context_key", F.col("spans.start").alias("starts"),
+        F.col("spans.end").alias("ends"))
 
 
-def removals(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
+def removals(docs: DataFrame, length: int = LENGTH, words: int = 0) -> tuple[DataFrame, DataFrame]:
     """What to remove: one row per row of ``docs``, and one per different text.
 
     First: the columns of ``docs`` but ``text``, then (text_key, n_bytes, sha256). Second:
-    (text_key, text, spans) of the texts of which something goes, spans as (begin, end) in
-    bytes. Texts that occur more than once go as a whole.
+    (text_key, text, spans, twice) of the texts in which something is repeated; spans are
+    (begin, end, passage) in bytes, ``twice`` says that the whole text is. With ``words``,
+    passages of so many equal words, whatever stands between them, are found as well.
     """
     keyed = docs.withColumn("text_key", F.md5("text"))
-    marked = stored(text_marks(keyed, length), "marks")
+    marked = stored(text_marks(keyed, length, words), "marks")
     texts = stored(
         marked.groupBy("text_key").agg(
             F.count("*").alias("copies"), F.first("runs").alias("runs")).filter("size(runs) > 0"),
         "texts")
-    runs = texts.select("text_key", "copies", F.explode("runs").alias("run")).select(
-        "text_key", "run.*")
+    runs = texts.select("text_key", F.explode("runs").alias("run")).select("text_key", "run.*")
     often = runs.groupBy("mark").agg(F.count("*").alias("n"), F.max("several").alias("several"))
     often = often.filter("n > 1 or several").select("mark")
     candidates = (
-        runs.join(often, "mark").groupBy("text_key")
+        runs.drop("several").join(often, "mark").groupBy("text_key")
         .agg(F.collect_list(F.struct("mark", "begin", "end")).alias("runs")))
     # texts that occur more than once are compared too: parts of them may stand elsewhere
     twice = texts.filter("copies > 1").select("text_key")
@@ -386,37 +445,37 @@ def removals(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
         .groupBy("text_key").agg(F.first("text").alias("text")))
     chosen = stored(one.join(needed, "text_key"), "chosen")
     contexts = stored(cut_contexts(
-        chosen.filter("runs is not null").select("text_key", "text", "runs"), length), "contexts")
+        chosen.filter("runs is not null").select("text_key", "text", "runs")), "contexts")
     different = stored(
         contexts.groupBy("mark", "context_key").agg(
             F.first("context").alias("context"), F.count("*").alias("n")), "different")
     hot = different.groupBy("mark").agg(F.sum(F.octet_length("context")).alias("m")).filter(
         F.col("m") > HOT_BYTES).select("mark")
     flagged = stored(
-        compare_contexts(different.join(hot, "mark", "left_anti"), length).unionByName(
-            compare_strings(different.join(hot, "mark"), length)),
+        compare_contexts(different.join(hot, "mark", "left_anti"), length, words).unionByName(
+            compare_strings(different.join(hot, "mark"), length, words)),
         "flagged")
     member = contexts.select("mark", "context_key", "text_key", "begin")
+    passage = F.col("mark").bitwiseAND(F.lit(1)) == 1
     spans = (
         flagged.join(member, ["mark", "context_key"]).groupBy("text_key")
-        .agg(F.collect_list(F.struct("begin", "starts", "ends")).alias("runs")))
-    # a run of starts covers ``length`` - 1 more bytes
+        .agg(F.collect_list(F.struct(
+            "begin", "starts", "ends", passage.alias("passage"))).alias("runs")))
     spans = spans.select("text_key", F.flatten(F.transform("runs", lambda r: F.zip_with(
         r["starts"], r["ends"], lambda x, y: F.struct(
-            (r["begin"] + x).alias("begin"), (r["begin"] + y + F.lit(length - 1)).alias("end")))
-    )).alias("spans"))
-    whole = F.array(F.struct(F.lit(0).alias("begin"), F.octet_length("text").alias("end")))
+            (r["begin"] + x).alias("begin"), (r["begin"] + y).alias("end"),
+            r["passage"].alias("passage"))))).alias("spans"))
     removed = (
         chosen.select("text_key", "text", "twice").join(spans, "text_key", "left")
-        .withColumn("spans", F.when(F.col("twice"), whole).otherwise(F.col("spans")))
-        .filter("spans is not null").select("text_key", "text", "spans"))
+        .filter("spans is not null or twice")
+        .select("text_key", "text", "spans", F.coalesce("twice", F.lit(False)).alias("twice")))
     return marked.drop("runs"), removed
 
 
-def merged_spans(spans: list[dict]) -> list[tuple[int, int]]:
+def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal removed runs."""
     out: list[tuple[int, int]] = []
-    for begin, end in sorted((s["begin"], s["end"]) for s in spans):
+    for begin, end in sorted(spans):
         if out and begin <= out[-1][1]:
             out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:
@@ -432,67 +491,85 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(parts) + raw[at:]
 
 
-def whole_words(raw: bytes, begin: int, end: int) -> int:
-    """Words of a text that lie in a span and are not cut by it."""
-    part = raw[begin:end]
-    n = len(part.split())
-    if n and begin:
-        n -= not (raw[begin - 1:begin].isspace() or part[:1].isspace())
-    if n and end < len(raw):
-        n -= not (raw[end:end + 1].isspace() or part[-1:].isspace())
-    return n
+def repeated_spans(
+    raw: bytes, spans: list[dict] | None, twice: bool, length: int, words: int,
+) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Maximal runs of repeated strings of ``length`` bytes, and of passages."""
+    found: tuple[list, list] = ([], [])
+    for s in spans or []:
+        found[s["passage"]].append((s["begin"], s["end"]))
+    if twice:
+        if len(raw) >= length:
+            found[0].append((0, len(raw)))
+        first, last = word_edges(np.frombuffer(raw, np.uint8))
+        if words and len(first) >= words:
+            found[1].append((int(first[0]), int(last[-1])))
+    return merged_spans(found[0]), merged_spans(found[1])
+
+
+KEPT = "text_key string, n_removed long, n_spans long, n_passages long, n_passage_words long, kept "
 
 
-def kept_texts(removed: DataFrame, as_text: bool = False, words: int = 0) -> DataFrame:
-    """(text_key, n_removed, n_spans, kept) of texts with removed spans; ``kept`` in bytes, or
-    as text without characters of which only a part stays. Runs under LENGTH bytes stay if
-    they hold fewer than ``words`` whole words."""
+def kept_texts(
+    removed: DataFrame, length: int = LENGTH, words: int = 0, as_text: bool = False,
+) -> DataFrame:
+    """Texts with repeated strings: (text_key, n_removed, n_spans, n_passages, n_passage_words,
+    kept).
+
+    ``kept`` are the bytes without repeated strings of ``length`` bytes; with ``as_text`` it is
+    a text without passages either, and without characters of which only a part stays.
+    Passages are maximal runs of repeated words.
+    """
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            removed_, numbers, kept = [], [], []
-            for text, spans in zip(
-                    batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            rows = []
+            for key, text, spans, twice in zip(*(
+                    batch.column(c).to_pylist() for c in ("text_key", "text", "spans", "twice"))):
                 raw = text.encode()
-                runs = merged_spans(spans)
-                if words:
-                    runs = [(a, b) for a, b in runs
-                            if b - a >= LENGTH or whole_words(raw, a, b) >= words]
-                removed_.append(sum(b - a for a, b in runs))
-                numbers.append(len(runs))
+                runs, passages = repeated_spans(raw, spans, twice, length, words)
+                n_words = sum(len(raw[a:b].split()) for a, b in passages)
+                if as_text:
+                    runs = merged_spans(runs + passages)
                 left = without(raw, runs)
-                kept.append(left.decode(errors="ignore") if as_text else left)
+                rows.append((
+                    key, sum(b - a for a, b in runs), len(runs), len(passages), n_words,
+                    left.decode(errors="ignore") if as_text else left))
+            kinds = [pa.string(), *[pa.int64()] * 4, pa.string() if as_text else pa.binary()]
             return pa.RecordBatch.from_arrays(
-                [batch.column("text_key"), pa.array(removed_, pa.int64()),
-                 pa.array(numbers, pa.int64()),
-                 pa.array(kept, pa.string() if as_text else pa.binary())],
-                ["text_key", "n_removed", "n_spans", "kept"])
+                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                ["text_key", "n_removed", "n_spans", "n_passages", "n_passage_words", "kept"])
 
         return step
 
-    kind = "string" if as_text else "binary"
-    return map_batches(
-        removed, make, f"text_key string, n_removed long, n_spans long, kept {kind}")
+    return map_batches(removed, make, KEPT + ("string" if as_text else "binary"))
 
 
 def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    """What stays of every document without its repeated strings. A null text is empty."""
+    """What stays of every document without its repeated strings of ``LENGTH`` bytes. A null
+    text is empty.
+
+    Passages of ``PASSAGE_WORDS`` or more words that stand in several places are counted beside
+    it (n_passages, n_passage_words), since they may have fewer bytes.
+    """
     docs = table(spark, folder, "documents").select("doc_id", text_or_empty())
-    rows, removed = removals(docs)
-    kept = kept_texts(removed).select(
-        "text_key", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-    return rows.join(kept, "text_key", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
-        F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
+    rows, removed = removals(docs, words=PASSAGE_WORDS)
+    counts = ["n_removed", "n_spans", "n_passages", "n_passage_words"]
+    kept = kept_texts(removed, words=PASSAGE_WORDS).select(
+        "text_key", *counts, F.sha2("kept", 256).alias("kept_sha256"))
+    whole = rows.join(kept, "text_key", "left").withColumns(
+        {c: F.coalesce(c, F.lit(0)) for c in counts})
+    return whole.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans",
+        F.coalesce("kept_sha256", "sha256").alias("kept_sha256"), "n_passages", "n_passage_words")
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
     """All rows and columns of ``docs``; repeated strings are cut from ``text``. Characters
-    of which only a part was repeated go with it. A null text stays null. With ``words``, runs
-    of repeated strings under LENGTH bytes go only if they hold so many whole words."""
-    _, removed = removals(docs.select(text_or_empty()), length)
-    clean = kept_texts(removed, as_text=True, words=words).select("text_key", "kept")
+    of which only a part was repeated go with it. A null text stays null. With ``words``,
+    passages of so many words that stand in several places are cut as well."""
+    _, removed = removals(docs.select(text_or_empty()), length, words)
+    clean = kept_texts(removed, length, words, as_text=True).select("text_key", "kept")
     whole = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))

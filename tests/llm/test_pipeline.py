@@ -5,6 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import fixtures
 from tallywatch.llm.common import table
+from tallywatch.session import made_tables
 
 
 def test_stages_keep_columns_and_take_effect(spark, odd):
@@ -37,3 +38,18 @@ def test_stages_keep_columns_and_take_effect(spark, odd):
 
 def test_run_on_empty_tables(spark, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_stages_delete_what_earlier_ones_stored(spark, odd):
+    docs = table(spark, odd, "documents").filter("doc_id < 100")
+    first = corpus_pipeline.near_duplicates(spark, docs, odd)
+    before = set(made_tables(spark))
+    lazy = corpus_pipeline.secrets(spark, first, odd)
+    assert set(made_tables(spark)) >= {p for p in before if any(p in f for f in first.inputFiles())}
+    assert lazy.count() == first.count() > 0
+    kept = corpus_pipeline.stored(corpus_pipeline.repeats(spark, docs, odd), "kept")
+    own = set(made_tables(spark))
+    packed = corpus_pipeline.packing(spark, kept, odd)
+    gone = own - set(made_tables(spark))
+    assert {p.rsplit("/", 1)[1].split("-")[0] for p in gone} >= {"marks", "texts", "contexts"}
+    assert packed.count() > 0 and kept.count() == docs.count()
