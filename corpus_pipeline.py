@@ -49,7 +49,7 @@ def with_new_length(docs: DataFrame) -> DataFrame:
 
 @tidy
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the likelihood ratio."""
+    """Documents that pass the base rules and the likelihood ratio. Null and empty texts fail."""
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -74,7 +74,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @tidy
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of permitted lengths that hold every document."""
+    """Sequences of permitted lengths that hold every document; of a null or empty text its end."""
     return pack_documents(docs)
 
 
