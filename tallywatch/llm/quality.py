@@ -12,18 +12,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallywatch.llm.common import (
-    WordHashes, hashed_sample, map_batches, other_columns, prepare, replace_columns, table,
+    WordHashes, map_batches, other_columns, prepare, replace_columns, stored, table,
     text_or_empty, window_hashes,
 )
 
 BUCKETS = 10_000
-TRUSTED_LIMIT = 20_000
-"""Labelled rows per class from which target model and threshold are fitted, at most."""
+MARKS = 1 << 19
+"""Rows of 64 bits that mark labelled ids."""
 SMOOTHING = 1.0
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -78,41 +78,48 @@ class QualityModel:
         return float(self.ratio[buckets_of(hashes)].mean()) if len(hashes) else 0.0
 
 
-def labelled_sample(labels: DataFrame, limit: int) -> DataFrame:
-    """Up to ``limit`` ids of each class; an id with both labels counts as not trusted."""
-    by_id = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
-        .groupBy("doc_id").agg(F.min("quality").alias("trusted"))
-    )
-    parts = [hashed_sample(by_id.filter(F.col("trusted") == c), "doc_id", limit) for c in (0, 1)]
-    return parts[0].unionByName(parts[1])
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, trusted) of all labelled ids; one with both labels counts as not trusted."""
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+    return known.groupBy("doc_id").agg(F.min("quality").alias("trusted"))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, trusted) of all rows with a labelled id. Bits at the ids' hashes, bounded
+    in number, keep most other texts out of the shuffle; the join decides."""
+    ids = trusted_ids(labels)
+    hashed = F.xxhash64(F.col("doc_id").cast("string"))
+    place = {"at": F.pmod(hashed, F.lit(MARKS)), "bit": F.shiftrightunsigned(hashed, 58).cast("int")}
+    marks = ids.withColumns(place).groupBy("at").agg(
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    likely = docs.select("doc_id", text_or_empty()).withColumns(place).join(
+        F.broadcast(marks), "at").filter("getbit(bits, bit) = 1").select("doc_id", "text")
+    return likely.join(ids.hint("merge"), "doc_id")
 
 
-def bucket_counts(docs: DataFrame) -> DataFrame:
-    """Rows (bucket, raw, target): n-grams of all texts and of those with ``trusted`` = 1."""
+def bucket_counts(docs: DataFrame) -> np.ndarray:
+    """N-grams of all texts by bucket."""
     prepare(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, raw, target = WordHashes(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        words, total = WordHashes(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for text, trusted in zip(batch.column("text"), batch.column("trusted")):
+            for text in batch.column("text"):
                 found = buckets_of(words.of(text.as_py().encode().split()))
-                counted = np.bincount(found, minlength=BUCKETS)
-                raw += counted
-                if trusted.as_py() == 1:
-                    target += counted
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"]
-        )
+                total += np.bincount(found, minlength=BUCKETS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
 
-    parts = docs.select("text", "trusted").mapInArrow(count, "bucket long, raw long, target long")
-    return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    parts = docs.select("text").mapInArrow(count, "bucket long, n long")
+    counts = np.zeros(BUCKETS)
+    for bucket, n in parts.groupBy("bucket").agg(F.sum("n")).collect():  # at most BUCKETS rows
+        counts[bucket] = n
+    return counts
 
 
 def best_threshold(scores: np.ndarray, trusted: np.ndarray) -> float:
     """Cut with the best sum of both classes' hit rates; the lowest such cut. Without both
-    classes nothing is cut."""
+    classes nothing is cut. For scores that fit in memory; ``threshold_of`` takes any number."""
     if not (trusted == 1).any() or not (trusted == 0).any():
         return float("-inf")
     order = np.argsort(scores, kind="stable")
@@ -127,33 +134,56 @@ def best_threshold(scores: np.ndarray, trusted: np.ndarray) -> float:
     return float(ranked[at]) if at == len(ranked) else float((ranked[at - 1] + ranked[at]) / 2)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, limit: int = TRUSTED_LIMIT) -> QualityModel:
-    """Both multinomials and the threshold. The raw one counts every document; the target
-    one and the threshold come from at most ``limit`` labelled ids per class. Without
-    trusted documents every ratio is 0 and nothing is rejected by it."""
-    sample = F.broadcast(labelled_sample(labels, limit))  # at most 2 * limit ids
-    rows = docs.select("doc_id", text_or_empty()).join(sample, "doc_id", "left")
-    counted = bucket_counts(rows).collect()  # at most BUCKETS rows
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for bucket, n_raw, n_target in counted:
-        raw[bucket], target[bucket] = n_raw, n_target
+def threshold_of(scored: DataFrame) -> float:
+    """``best_threshold`` of all rows (trusted, llr): running counts per range of scores,
+    shifted by those of the ranges before."""
+    by_score = scored.groupBy("llr").agg(
+        F.sum("trusted").alias("good"), F.sum(1 - F.col("trusted")).alias("bad"))
+    placed = stored(
+        by_score.repartitionByRange("llr").withColumn("run", F.spark_partition_id()), "scores")
+    # one row per range, so one task may see all of them
+    ahead = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = placed.groupBy("run").agg(
+        F.sum("good").alias("g"), F.sum("bad").alias("b"), F.max("llr").alias("last"))
+    shifts = runs.select(
+        "run", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"{c}_ahead") for c in "gb"],
+        F.max("last").over(ahead).alias("last_ahead"))
+    total = runs.agg(F.sum("g").alias("g"), F.sum("b").alias("b")).first()
+    if not total.g or not total.b:
+        return float("-inf")
+    inside = Window.partitionBy("run").orderBy("llr")
+    lower = inside.rowsBetween(Window.unboundedPreceding, -1)
+    cuts = placed.select(
+        "run", "llr", F.lag("llr").over(inside).alias("below"),
+        *[F.coalesce(F.sum(c).over(lower), F.lit(0)).alias(c) for c in ("good", "bad")],
+    ).join(F.broadcast(shifts), "run")
+    # the hit rates over a common denominator: whole numbers, so equal cuts tie
+    gain = ((F.col("bad") + F.col("b_ahead")) * F.lit(total.g)
+            - (F.col("good") + F.col("g_ahead")) * F.lit(total.b))
+    best = cuts.select(
+        gain.alias("gain"), "llr", F.coalesce("below", "last_ahead").alias("below"),
+    ).orderBy(F.desc("gain"), "llr").first()
+    return float("-inf") if best.gain <= 0 else (best.below + best.llr) / 2
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """Both multinomials and the threshold: the raw one from every document, the target one
+    from every trusted document, the threshold from every labelled one. Without trusted
+    documents every ratio is 0 and nothing is rejected by it."""
+    known = stored(labelled_texts(docs, labels), "labelled")
+    target = bucket_counts(known.filter("trusted = 1"))
     if not target.sum():
         return QualityModel(np.zeros(BUCKETS), float("-inf"))
 
     def log_share(counts: np.ndarray) -> np.ndarray:
         return np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * BUCKETS))
 
-    model = QualityModel(log_share(target) - log_share(raw), float("-inf"))
-    known = docs.select("doc_id", text_or_empty()).join(sample, "doc_id", "inner")
+    model = QualityModel(log_share(target) - log_share(bucket_counts(docs.select(text_or_empty()))), float("-inf"))
     scored = (
         score_quality(known, model).filter("not base_failed").groupBy("doc_id")
         .agg(F.max("trusted").alias("trusted"), F.min("llr").alias("llr"))
-        .select("trusted", "llr").collect()  # at most 2 * limit rows
-    )
-    threshold = best_threshold(
-        np.array([row.llr for row in scored]), np.array([row.trusted for row in scored])
     )
-    return QualityModel(model.ratio, threshold)
+    return QualityModel(model.ratio, threshold_of(scored))
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
