@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,69 +41,97 @@ class RunningTotals(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.totals = handle.getValueState("totals", TOTALS)
+        # one entry holds the rows of a part, so a state call does not move rows one by one
         self.waiting = handle.getListState(
-            "waiting", f"micros long, id {self.id_type}, amount double")
+            "waiting", f"micros binary, amounts binary, ids array<{self.id_type}>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if key[0] == HEARTBEAT:
             return
-        earliest = None
+        earliest, packed = None, []
         for part in rows:
-            timeless = part["event_micros"].isna()
+            ids = part[self.row_id].tolist()
+            micros = part["event_micros"].to_numpy(np.float64, na_value=np.nan)
+            timeless = np.isnan(micros)
             if timeless.any():  # no place in the order: sent on at once, without features
-                yield self.out(key[0], [(i, None, None, None) for i in part[self.row_id][timeless]])
-                part = part[~timeless]
-            amounts = part["amount"].astype(object).where(part["amount"].notna(), None)
-            new = list(zip(
-                part["event_micros"].astype("int64").tolist(), part[self.row_id].tolist(),
-                amounts.tolist()))
-            if new:
-                self.waiting.appendList(new)
-                first = min(new)[0]
+                none = np.zeros(int(timeless.sum()))
+                yield self.out(
+                    key[0], [i for i, t in zip(ids, timeless) if t], none, none, none, none == 0)
+            if not timeless.all():
+                amounts = part["amount"].to_numpy(np.float64, na_value=np.nan)[~timeless]
+                ids = [i for i, t in zip(ids, timeless) if not t]
+                times = part["event_micros"].to_numpy()[~timeless].astype(np.int64)
+                packed.append((times.tobytes(), amounts.tobytes(), ids))
+                first = int(times.min())
                 earliest = first if earliest is None else min(first, earliest)
-        if earliest is not None:
+        if packed:
+            self.waiting.appendList(packed)
             self.handle.registerTimer(earliest // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        ready, rest = [], []
-        for row in self.waiting.get():
-            (ready if row[0] <= passed else rest).append(tuple(row))
+        ready, rest, later = [], [], None
+        for times, amounts, ids in self.waiting.get():
+            micros, values = np.frombuffer(times, np.int64), np.frombuffer(amounts, np.float64)
+            now = micros <= passed
+            if now.any():
+                ready.append((micros[now], values[now], [i for i, n in zip(ids, now) if n]))
+            if not now.all():
+                first = int(micros[~now].min())
+                later = first if later is None else min(first, later)
+                rest.append((micros[~now].tobytes(), values[~now].tobytes(),
+                             [i for i, n in zip(ids, now) if not n]))
+        totals = self.totals.get()
         if ready:
-            yield self.advance(key[0], sorted(ready, key=lambda row: row[:2]))
+            micros, values = (np.concatenate([part[i] for part in ready]) for i in (0, 1))
+            totals, found = self.advance(
+                key[0], totals, micros, values, [i for part in ready for i in part[2]])
+            self.totals.update(totals)
+            yield found
             if rest:
                 self.waiting.put(rest)
             else:
                 self.waiting.clear()
         if rest:
-            self.handle.registerTimer(min(rest)[0] // 1000)
-        elif self.idle_ms is not None and self.totals.exists():
-            gone = self.totals.get()[3] * 1000 + self.idle_ms
+            self.handle.registerTimer(later // 1000)
+        elif self.idle_ms is not None and totals is not None:
+            gone = totals[3] * 1000 + self.idle_ms
             if gone * 1000 <= passed:
                 self.totals.clear()
             elif ready:
                 self.handle.registerTimer(gone)
 
-    def advance(self, user, ready: list[tuple]) -> pd.DataFrame:
+    def advance(self, user, totals, micros, values, ids: list) -> tuple[tuple, pd.DataFrame]:
         """Add rows in order and give each the totals up to it."""
-        count, amounts, total, last = (
-            self.totals.get() if self.totals.exists() else (0, 0, 0.0, None))
-        found = []
-        for micros, row, amount in ready:
-            second = micros // 1_000_000
-            count += 1
-            if amount is not None:
-                amounts, total = amounts + 1, total + amount
-            found.append((row, count, total / amounts if amounts else None,
-                          None if last is None else second - last))
-            last = second
-        self.totals.update((count, amounts, total, last))
-        return self.out(user, found)
-
-    def out(self, user, rows: list[tuple]) -> pd.DataFrame:
-        columns = [pd.Series(c, dtype=object) for c in zip(*rows)]
-        names = [self.row_id, "user_count_so_far", "user_avg_so_far", "seconds_since_last"]
-        return pd.DataFrame({USER: [user] * len(rows), **dict(zip(names, columns))})
+        count, amounts, total, last = totals or (0, 0, 0.0, None)
+        times = micros.tolist()
+        order = sorted(range(len(ids)), key=lambda i: (times[i], ids[i]))
+        second, values = micros[order] // 1_000_000, values[order]
+        known = ~np.isnan(values)
+        counts = count + np.arange(1, len(ids) + 1)
+        seen = amounts + np.cumsum(known)
+        # added up one after the other, as without the totals before
+        sums = np.cumsum(np.concatenate([[total], np.where(known, values, 0.0)]))[1:]
+        means = np.divide(sums, seen, out=np.full(len(ids), np.nan), where=seen > 0)
+        first = second[0] if last is None else last
+        gaps = np.diff(second, prepend=first)
+        timeless = np.zeros(len(ids), bool)
+        found = self.out(
+            user, [ids[i] for i in order], counts, means, gaps, timeless, last is None)
+        return (int(counts[-1]), int(seen[-1]), float(sums[-1]), int(second[-1])), found
+
+    def out(self, user, ids: list, counts, means, gaps, empty, begins=False) -> pd.DataFrame:
+        """Rows with their features; none where ``empty``, no gap in the first if it ``begins``
+        the user's rows."""
+        without_gap = empty.copy()
+        without_gap[:1] |= begins
+        return pd.DataFrame({
+            USER: pd.Series([user] * len(ids), dtype=object),
+            self.row_id: pd.Series(ids, dtype=object),
+            "user_count_so_far": pd.arrays.IntegerArray(counts.astype(np.int64), empty),
+            "user_avg_so_far": np.where(empty, np.nan, means),
+            "seconds_since_last": pd.arrays.IntegerArray(gaps.astype(np.int64), without_gap),
+        })
 
     def close(self) -> None:
         pass

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 
 from tallywatch.streaming.queries import start
@@ -166,3 +167,37 @@ def test_equal_to_the_gathered_features(spark, tmp_path, rows):
         k: (v[0], v[2]) for k, v in expected.items()}
     for key, value in found.items():
         assert value[1] == pytest.approx(expected[key][1])
+
+
+def test_waiting_rows_are_packed(spark):
+    from tallywatch.streaming.stateful import RunningTotals
+
+    class Waiting:
+        def __init__(self):
+            self.entries = []
+
+        def appendList(self, entries):
+            self.entries += entries
+
+        def registerTimer(self, at):
+            self.at = at
+
+    calls, processor = Waiting(), RunningTotals("event_id", "bigint")
+    processor.handle = processor.waiting = calls
+    part = pd.DataFrame({
+        "event_id": range(500), "amount": [None, 1.0] * 250, "event_micros": range(5_000, 5_500)})
+    assert not list(processor.handleInputRows(("a",), iter([part, part]), None))
+    assert len(calls.entries) == 2 and calls.at == 5  # one entry a part, not one a row
+
+
+def test_two_batches_wait_and_come_out_in_parts(spark, tmp_path, rows):
+    """Parts of several batches wait together, and a timer takes some rows of each."""
+    run = Run(spark, tmp_path, "1 hour")
+    for part in range(3):
+        run.add(rows[part::3])
+    run.go()
+    write_heartbeat(spark, run.path + "/beats", at(400 + 3600))
+    run.go()
+    assert 0 < len(run.found()) < len(rows)
+    run.end()
+    assert run.found() == plain(rows)
