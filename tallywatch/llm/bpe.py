@@ -4,7 +4,8 @@ A task cuts its texts into units that the split pattern treats separately, takes
 different word once, lays the words out as rows of (word, position) and token and lets a
 recursive query join neighbouring tokens with the merge table. Each step contracts every
 word's leftmost pair of minimum rank; a word leaves the recursion when no pair is left.
-Decoding joins token rows with the vocabulary and aggregates their bytes in order.
+Decoding joins token rows with the vocabulary, in the order of their places, and cuts the
+joined bytes where a list ends.
 """
 
 from __future__ import annotations
@@ -58,13 +59,11 @@ WITH RECURSIVE step(place, token, done) AS (
    FROM paired LEFT JOIN best ON word = place >> 32
    WHERE gone IS DISTINCT FROM place)
 )
-SELECT (place >> 32)::INTEGER AS word, list(token ORDER BY place) AS ids
-FROM step WHERE done GROUP BY 1 ORDER BY 1
+SELECT place, token FROM step WHERE done ORDER BY place
 """
 
 DECODE = """
-SELECT (place >> 32)::INTEGER AS word, string_agg(hex, '' ORDER BY place) AS hex
-FROM coded JOIN vocabulary USING (token) GROUP BY 1 ORDER BY 1
+SELECT place, piece FROM coded JOIN vocabulary USING (token) ORDER BY place
 """
 
 
@@ -110,7 +109,7 @@ class Codec:
         self._load("merges", {k: pa.array(v, pa.int32()) for k, v in columns.items()})
         self._load("vocabulary", {
             "token": pa.array(list(ranks.values()), pa.int32()),
-            "hex": pa.array([t.hex() for t in ranks]),
+            "piece": pa.array([t.decode("latin-1") for t in ranks]),  # a character for each byte
         })
 
     def _load(self, name: str, columns: dict[str, pa.Array]) -> None:
@@ -140,8 +139,11 @@ class Codec:
             some = words[begin:begin + QUERY_WORDS]
             sizes = np.fromiter(map(len, some), np.int64, len(some))
             tokens = self.byte_ids[np.frombuffer(b"".join(some), np.uint8)]
-            found = self._query(ENCODE, "start", token_rows(sizes, tokens))
-            parts.append(found.column("ids").combine_chunks())
+            found = self._query(ENCODE, "start", token_rows(sizes, tokens)).combine_chunks()
+            word = found.column("place").to_numpy() >> 32  # in order, so a word's rows are a run
+            ends = np.searchsorted(word, np.arange(len(some) + 1))
+            parts.append(pa.ListArray.from_arrays(
+                pa.array(ends.astype(np.int32)), pa.concat_arrays(found.column("token").chunks)))
         return pa.concat_arrays(parts)
 
     def decode(self, coded: pa.Array) -> list[bytes]:
@@ -149,10 +151,14 @@ class Codec:
         sizes = coded.value_lengths().to_numpy(zero_copy_only=False)
         tokens = coded.flatten().to_numpy(zero_copy_only=False)
         found = self._query(DECODE, "coded", token_rows(sizes, tokens))
-        out = [b""] * len(coded)
-        for word, text in zip(found.column("word").to_pylist(), found.column("hex").to_pylist()):
-            out[word] = bytes.fromhex(text)
-        return out
+        if not found.num_rows:
+            return [b""] * len(coded)
+        # in order, so the pieces of a list are a run of the column's characters
+        pieces = pa.concat_arrays(found.column("piece").chunks).cast(pa.large_string())
+        begin = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset:]
+        text, word = pieces.buffers()[2].to_pybytes(), found.column("place").to_numpy() >> 32
+        ends = begin[np.searchsorted(word, np.arange(len(coded) + 1))].tolist()
+        return [text[a:b].decode().encode("latin-1") for a, b in zip(ends, ends[1:])]
 
     def code(self, words: list[bytes]) -> pa.Array:
         """Ids of every word. One that is a token stays whole; the parts of a long one are

@@ -140,6 +140,20 @@ def test_long_words_are_cut_where_no_token_spans(codec, library):
     assert codec.code([word])[0].as_py() == library.encode_ordinary(word.decode())
 
 
+def test_every_byte_and_empty_lists_are_decoded(codec):
+    lists = [codec.byte_ids, codec.byte_ids[:0], codec.byte_ids[::-1], codec.byte_ids[:1]]
+    whole = bytes(range(256))
+    assert list(bpe.decode_lists(codec, lists)) == [whole, b"", whole[::-1], b"\0"]
+
+
+def test_words_of_several_queries_keep_their_order(codec, library, monkeypatch):
+    monkeypatch.setattr(bpe, "QUERY_WORDS", 3)
+    words = ["qzx", "a", "unbelievably", "zq", "tokenised", "é日", "qqqq", "xyzzy"]
+    found = codec.contract([w.encode() for w in words]).to_pylist()
+    assert found == [library.encode_ordinary(w) for w in words]
+    assert codec.contract([]).to_pylist() == []
+
+
 def test_encode_and_decode_documents(spark, codec):
     import public_tokenizers as public
 
