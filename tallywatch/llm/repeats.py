@@ -22,12 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.llm.common import (
     map_batches, mix64, prepare, stored, table, text_or_empty, window_hashes,
 )
+from tallywatch.session import made_tables, remove_tables
 
 LENGTH = 400
 GRAM = 64
@@ -52,7 +53,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, at least ``n`` of them."""
-    if len(_powers.get("up", ())) < n:
+    if len(_powers.get("up", ())) < max(n, 1):
         size = max(n, 1 << 16)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(size, base, np.uint64)
@@ -307,6 +308,11 @@ def text_marks(keyed: DataFrame, length: int, words: int) -> DataFrame:
     return map_batches(keyed, make, schema)
 
 
+def text_key() -> Column:
+    """What equal texts share, as bytes: most shuffled rows are little else than this key."""
+    return F.unhex(F.md5("text")).alias("text_key")
+
+
 def cut_contexts(texts: DataFrame) -> DataFrame:
     """(mark, context_key, context, text_key, begin) from (text_key, text, runs)."""
 
@@ -319,7 +325,7 @@ def cut_contexts(texts: DataFrame) -> DataFrame:
                 for r in runs:
                     context = raw[r["begin"]:r["end"]]
                     rows.append((r["mark"], hashlib.md5(context).digest(), context, key, r["begin"]))
-            types = [pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.int32()]
+            types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
             columns = list(zip(*rows)) or [[]] * 5
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)],
@@ -328,7 +334,7 @@ def cut_contexts(texts: DataFrame) -> DataFrame:
         return step
 
     return map_batches(texts, make, (
-        "mark long, context_key binary, context binary, text_key string, begin int"))
+        "mark long, context_key binary, context binary, text_key binary, begin int"))
 
 
 FLAGGED = "mark long, context_key binary, starts array<int>, ends array<int>"
@@ -425,7 +431,7 @@ def removals(docs: DataFrame, length: int = LENGTH, words: int = 0) -> tuple[Dat
     (begin, end, passage) in bytes, ``twice`` says that the whole text is. With ``words``,
     passages of so many equal words, whatever stands between them, are found as well.
     """
-    keyed = docs.withColumn("text_key", F.md5("text"))
+    keyed = docs.withColumn("text_key", text_key())
     marked = stored(text_marks(keyed, length, words), "marks")
     texts = stored(
         marked.groupBy("text_key").agg(
@@ -441,7 +447,7 @@ def removals(docs: DataFrame, length: int = LENGTH, words: int = 0) -> tuple[Dat
     twice = texts.filter("copies > 1").select("text_key")
     needed = candidates.join(twice.withColumn("twice", F.lit(True)), "text_key", "full")
     one = (
-        docs.select(F.md5("text").alias("text_key"), "text")
+        docs.select(text_key(), "text")
         .groupBy("text_key").agg(F.first("text").alias("text")))
     chosen = stored(one.join(needed, "text_key"), "chosen")
     contexts = stored(cut_contexts(
@@ -455,6 +461,9 @@ def removals(docs: DataFrame, length: int = LENGTH, words: int = 0) -> tuple[Dat
         compare_contexts(different.join(hot, "mark", "left_anti"), length, words).unionByName(
             compare_strings(different.join(hot, "mark"), length, words)),
         "flagged")
+    remove_tables(docs.sparkSession, [
+        path for path in made_tables(docs.sparkSession)
+        if any(path in f for f in different.inputFiles())])
     member = contexts.select("mark", "context_key", "text_key", "begin")
     passage = F.col("mark").bitwiseAND(F.lit(1)) == 1
     spans = (
@@ -507,7 +516,7 @@ def repeated_spans(
     return merged_spans(found[0]), merged_spans(found[1])
 
 
-KEPT = "text_key string, n_removed long, n_spans long, n_passages long, n_passage_words long, kept "
+KEPT = "text_key binary, n_removed long, n_spans long, n_passages long, n_passage_words long, kept "
 
 
 def kept_texts(
@@ -535,7 +544,7 @@ def kept_texts(
                 rows.append((
                     key, sum(b - a for a, b in runs), len(runs), len(passages), n_words,
                     left.decode(errors="ignore") if as_text else left))
-            kinds = [pa.string(), *[pa.int64()] * 4, pa.string() if as_text else pa.binary()]
+            kinds = [pa.binary(), *[pa.int64()] * 4, pa.string() if as_text else pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                 ["text_key", "n_removed", "n_spans", "n_passages", "n_passage_words", "kept"])
@@ -570,9 +579,8 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFr
     passages of so many words that stand in several places are cut as well."""
     _, removed = removals(docs.select(text_or_empty()), length, words)
     clean = kept_texts(removed, length, words, as_text=True).select("text_key", "kept")
-    whole = docs.select(
-        F.struct(*docs.columns).alias("row"),
-        F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), text_or_empty()).select(
+        "row", text_key())
     return whole.join(clean, "text_key", "left").select(*[
         F.coalesce("kept", "row.text").alias("text") if c == "text"
         else F.col(f"row.`{c}`").alias(c) for c in docs.columns
