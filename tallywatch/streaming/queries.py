@@ -236,12 +236,10 @@ def start_job(
 def wait_for_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
     """Block until every query has ended; the first failure stops the others and is raised."""
     try:
+        # only these: the session may remember other queries that have failed
         while any(query.isActive for query in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
             for query in queries:
-                if query.exception() is not None:
-                    raise query.exception()
+                query.awaitTermination(1)
         for query in queries:
             query.awaitTermination()
     finally:
