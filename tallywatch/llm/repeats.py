@@ -26,9 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.llm.common import (
-    map_batches, mix64, prepare, stored, table, text_or_empty, window_hashes,
+    map_batches, mix64, prepare, remove_stored, stored, table, text_or_empty, window_hashes,
 )
-from tallywatch.session import made_tables, remove_tables
 
 LENGTH = 400
 GRAM = 64
@@ -437,6 +436,8 @@ def removals(docs: DataFrame, length: int = LENGTH, words: int = 0) -> tuple[Dat
         marked.groupBy("text_key").agg(
             F.count("*").alias("copies"), F.first("runs").alias("runs")).filter("size(runs) > 0"),
         "texts")
+    rows = stored(marked.drop("runs"), "rows")
+    remove_stored(marked)
     runs = texts.select("text_key", F.explode("runs").alias("run")).select("text_key", "run.*")
     often = runs.groupBy("mark").agg(F.count("*").alias("n"), F.max("several").alias("several"))
     often = often.filter("n > 1 or several").select("mark")
@@ -450,21 +451,21 @@ def removals(docs: DataFrame, length: int = LENGTH, words: int = 0) -> tuple[Dat
         docs.select(text_key(), "text")
         .groupBy("text_key").agg(F.first("text").alias("text")))
     chosen = stored(one.join(needed, "text_key"), "chosen")
+    remove_stored(texts)
     contexts = stored(cut_contexts(
         chosen.filter("runs is not null").select("text_key", "text", "runs")), "contexts")
     different = stored(
         contexts.groupBy("mark", "context_key").agg(
             F.first("context").alias("context"), F.count("*").alias("n")), "different")
+    member = stored(contexts.drop("context"), "member")
+    remove_stored(contexts)
     hot = different.groupBy("mark").agg(F.sum(F.octet_length("context")).alias("m")).filter(
         F.col("m") > HOT_BYTES).select("mark")
     flagged = stored(
         compare_contexts(different.join(hot, "mark", "left_anti"), length, words).unionByName(
             compare_strings(different.join(hot, "mark"), length, words)),
         "flagged")
-    remove_tables(docs.sparkSession, [
-        path for path in made_tables(docs.sparkSession)
-        if any(path in f for f in different.inputFiles())])
-    member = contexts.select("mark", "context_key", "text_key", "begin")
+    remove_stored(different)
     passage = F.col("mark").bitwiseAND(F.lit(1)) == 1
     spans = (
         flagged.join(member, ["mark", "context_key"]).groupBy("text_key")
@@ -478,7 +479,7 @@ def removals(docs: DataFrame, length: int = LENGTH, words: int = 0) -> tuple[Dat
         chosen.select("text_key", "text", "twice").join(spans, "text_key", "left")
         .filter("spans is not null or twice")
         .select("text_key", "text", "spans", F.coalesce("twice", F.lit(False)).alias("twice")))
-    return marked.drop("runs"), removed
+    return rows, removed
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

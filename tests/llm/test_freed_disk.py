@@ -50,3 +50,23 @@ def test_contexts_are_deleted_once_compared(spark):
 def test_first_text_of_a_worker_may_be_empty(monkeypatch):
     monkeypatch.setattr(repeats, "_powers", {})
     assert all(len(x) == 0 for x in repeats.marked_runs(b"", 400, 51))
+
+
+def test_marks_texts_and_contexts_are_deleted_once_read(spark):
+    draw = random.Random(9)
+    shared = "".join(draw.choices("abcdefgh", k=500))
+    rows = [(i, f"{i}" * 30 + shared) for i in range(3)] + [(3, shared), (4, shared), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = set(made_tables(spark))
+    whole, removed = repeats.removals(docs.select("doc_id", common.text_or_empty()), words=51)
+    left = {p.rsplit("/", 1)[1].split("-")[0] for p in set(made_tables(spark)) - before}
+    assert left == {"rows", "chosen", "member", "flagged"}
+    assert {r.doc_id: r.n_bytes for r in whole.collect()} == {0: 530, 1: 530, 2: 530, 3: 500, 4: 500, 9: 0}
+    assert {(len(r.text), r.twice) for r in removed.collect()} == {(530, False), (500, True)}
+
+
+def test_only_the_named_table_is_removed(spark):
+    kept, gone = common.stored(spark.range(3), "kept"), common.stored(spark.range(3), "gone")
+    folder = next(p for p in made_tables(spark) if "/gone-" in p)
+    common.remove_stored(gone)
+    assert folder not in made_tables(spark) and kept.count() == 3
