@@ -436,7 +436,7 @@ def removals(docs: DataFrame, length: int = LENGTH, words: int = 0) -> tuple[Dat
         marked.groupBy("text_key").agg(
             F.count("*").alias("copies"), F.first("runs").alias("runs")).filter("size(runs) > 0"),
         "texts")
-    rows = stored(marked.drop("runs"), "rows")
+    rows = stored(marked.drop("runs"), "marks")
     remove_stored(marked)
     runs = texts.select("text_key", F.explode("runs").alias("run")).select("text_key", "run.*")
     often = runs.groupBy("mark").agg(F.count("*").alias("n"), F.max("several").alias("several"))
@@ -450,14 +450,14 @@ def removals(docs: DataFrame, length: int = LENGTH, words: int = 0) -> tuple[Dat
     one = (
         docs.select(text_key(), "text")
         .groupBy("text_key").agg(F.first("text").alias("text")))
-    chosen = stored(one.join(needed, "text_key"), "chosen")
+    chosen = stored(one.join(needed, "text_key"), "texts")
     remove_stored(texts)
     contexts = stored(cut_contexts(
         chosen.filter("runs is not null").select("text_key", "text", "runs")), "contexts")
     different = stored(
         contexts.groupBy("mark", "context_key").agg(
             F.first("context").alias("context"), F.count("*").alias("n")), "different")
-    member = stored(contexts.drop("context"), "member")
+    member = stored(contexts.drop("context"), "contexts")
     remove_stored(contexts)
     hot = different.groupBy("mark").agg(F.sum(F.octet_length("context")).alias("m")).filter(
         F.col("m") > HOT_BYTES).select("mark")
