@@ -12,6 +12,7 @@ import fixtures
 from tallywatch.llm import (
     bpe, html_text, lm, neardup, packing, quality, repeats, secret_scan, topk, toxicity,
 )
+from tallywatch.llm.common import stored
 
 
 # --- toxicity
@@ -239,6 +240,25 @@ def test_components_of_a_chain_and_a_star(spark):
     assert all(labels[bytes([101 + i])] == bytes([100]) for i in range(50))
 
 
+def test_classes_are_joined_by_numbers(spark, monkeypatch):
+    """Before, they were joined by 16 byte digests, so every small table that a join sent to the
+    executors took a whole page of memory there, and every minimum a sort."""
+    made = {}
+
+    def noted(df, label):
+        made.setdefault(label, []).append(dict(df.dtypes))
+        return stored(df, label)
+
+    monkeypatch.setattr(neardup, "stored", noted)
+    found = neardup.near_duplicates(fixtures.documents(spark))
+    assert dict(found.dtypes)["component"] == "bigint"
+    for label in ("buckets", "pairs", "links", "edges", "labels", "sets"):
+        keys = {k: t for types in made[label] for k, t in types.items()
+                if k in ("class", "low", "high", "a", "b", "label")}
+        assert keys and set(keys.values()) == {"bigint"}
+    assert found.filter("n_shingles = 0 and component is not null").isEmpty()
+
+
 def test_one_row_of_each_component_stays(spark):
     docs = fixtures.documents(spark)
     kept = neardup.keep_one(docs)
